@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sha256(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Sorted keys, ``", "`` and ``": "`` separators, non-ASCII kept; null for invalid JSON."""
 
@@ -34,8 +35,22 @@ def canonical_json_hash(text: Column) -> Column:
 
 def json_first(obj: Column, *keys: str) -> Column:
     """Value of the first key whose value is neither missing, null, false, zero nor empty."""
-    values = [F.get_json_object(obj, f"$.{k}") for k in keys]
-    return F.coalesce(*[F.when(~v.isin("", "0", "0.0", "false", "[]", "{}", "null"), v) for v in values])
+    parsed = F.try_parse_json(obj)
+    candidates = []
+    for key in keys:
+        value = F.try_variant_get(parsed, f"$.{key}", "variant")
+        kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        text = F.get_json_object(obj, f"$.{key}")
+        empty = (
+            F.when(kind == "VOID", F.lit(True))
+            .when(kind == "STRING", text == "")
+            .when(kind == "BOOLEAN", text == "false")
+            .when(kind.startswith("ARRAY"), text == "[]")
+            .when(kind.startswith("OBJECT"), text == "{}")
+            .otherwise(F.coalesce(text.try_cast("double"), F.lit(1.0)) == 0)
+        )
+        candidates.append(F.when(~empty, text))
+    return F.coalesce(*candidates)
 
 
 def l2_truncate(vector: Column, dims: int) -> Column:

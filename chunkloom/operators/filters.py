@@ -103,7 +103,7 @@ def complete_metadata(meta: DataFrame, columns: list[str]) -> DataFrame:
 
 def image_large_enough(points: Column, min_width: int = 250, min_height: int = 270) -> Column:
     """Box between the first and the third corner point."""
-    a, c = F.try_element_at(points, F.lit(1)), F.try_element_at(points, F.lit(3))
+    a, c = F.get(points, 0), F.get(points, 2)
     wide = F.abs(c["x"] - a["x"]) >= min_width
     high = F.abs(c["y"] - a["y"]) >= min_height
     return F.coalesce(wide & high, F.lit(False))

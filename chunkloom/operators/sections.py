@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from .segments import BLOCK_ROWS, Running, concat_ordered, scan
@@ -89,7 +90,7 @@ def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
     )
     doc_type = elements.schema["doc_id"].dataType.simpleString()
 
-    def summarise(keys, block: pd.DataFrame) -> pd.DataFrame:
+    def summarise(keys, block):
         block = block.sort_values("pos")
         runs = _transfer(
             block["_n"].to_numpy(), block["_title"].to_numpy(), block["_barrier"].to_numpy(),
@@ -111,7 +112,7 @@ def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
         )
     )
 
-    def chain(keys, blocks: pd.DataFrame) -> pd.DataFrame:
+    def chain(keys, blocks):
         length, start, out = 0, -1, []
         for row in blocks.sort_values("_blk").itertuples(index=False):
             out.append((keys[0], row[1], length, start))
@@ -151,7 +152,7 @@ def _label_chunks(profile: Profile):
     return run
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _cut_long(texts: pd.Series, limits: pd.Series) -> pd.Series:
     def pieces(text, limit):
         out = []

@@ -176,24 +176,47 @@ def _frame_html(frame: pd.DataFrame) -> str:
     return frame.to_html(index=False, border=0, classes=None)
 
 
+def _frame_writer(frame: pd.DataFrame):
+    """Function from row numbers to the html of these rows.
+
+    Frames of plain text, by far the most common, are written directly; writing them through pandas
+    costs milliseconds per row. Rows of other frames are rebuilt one by one, so that they lose their
+    common type the way a row-wise copy does.
+    """
+    is_text = frame.columns.nlevels == 1 and all(
+        frame[c].map(lambda v: isinstance(v, str)).all() for c in frame.columns
+    )
+    if not is_text or not frame.columns.is_unique:
+        return lambda rows: _frame_html(pd.concat([frame.iloc[i].to_frame().T for i in rows]))
+
+    def cell(tag: str, value) -> str:
+        text = str(value)
+        for raw, shown in (("\t", r"\t"), ("\r", r"\r"), ("\n", r"\n")):
+            text = text.replace(raw, shown)
+        return f"      <{tag}>{escape(text, quote=False).strip()}</{tag}>\n"
+
+    head = "".join(cell("th", c) for c in frame.columns)
+    lines = ["    <tr>\n" + "".join(cell("td", v) for v in row) + "    </tr>\n" for row in frame.to_numpy()]
+    before = f'<table class="dataframe">\n  <thead>\n    <tr style="text-align: right;">\n{head}    </tr>\n'
+    return lambda rows: (
+        before + "  </thead>\n  <tbody>\n" + "".join(lines[i] for i in rows) + "  </tbody>\n</table>"
+    )
+
+
 def split_table(html: str, limit: int, count) -> list[str]:
     """Greedy row groups of at most ``limit`` tokens; each row is measured as a table of its own."""
     frame = table_frame(html)
-    groups: list[list[int]] = [[]]
+    write = _frame_writer(frame)
+    groups: list[list[int]] = []
     used = 0
     for i in range(len(frame)):
-        size = count(_frame_html(frame.iloc[i].to_frame().T))
-        if groups[-1] and used + size > limit:
+        size = count(write([i]))
+        if not groups or used + size > limit:
             groups.append([])
             used = 0
         groups[-1].append(i)
         used += size
-    parts = []
-    for rows in groups:
-        if rows:
-            # Rows lose their common type one by one, as a row-wise rebuild of the frame does.
-            parts.append(_frame_html(pd.concat([frame.iloc[i].to_frame().T for i in rows])))
-    return parts
+    return [write(rows) for rows in groups]
 
 
 def cut_to_size(html: str, limit: int, count) -> list[str]:

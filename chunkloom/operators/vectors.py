@@ -13,5 +13,6 @@ def top_k_similar(vectors: DataFrame, query: Column, k: int, key: str = "vec_id"
 
     ``query`` is a constant or a scalar subquery, so this is one scan with a bounded heap per task.
     """
-    scored = vectors.withColumn("similarity", cosine(F.col("embedding"), query))
+    asked = vectors.withColumn("_query", query)
+    scored = asked.withColumn("similarity", cosine(F.col("embedding"), F.col("_query"))).drop("_query")
     return scored.orderBy(F.desc("similarity"), key).limit(k)

@@ -7,18 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "timestamp": T.TimestampType(),
+    "points": T.ArrayType(
+        T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+    ),
+    "vector": T.ArrayType(T.FloatType()),
+    "turns": T.ArrayType(
+        T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
+    ),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Schema from ``name type`` pairs; needs no running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 TABLES = {
     "stage_log": _schema("doc_id string, stage string, at timestamp"),
     "elements": _schema(
         "doc_id string, pos bigint, category string, text string, page_number int, html string, "
-        "points array<struct<x:double,y:double>>"
+        "points points"
     ),
     "chunks": _schema("doc_id string, pos bigint, title string, text string, page_number int"),
-    "vector_records": _schema("id string, values array<float>, metadata string, namespace string"),
+    "vector_records": _schema("id string, values vector, metadata string, namespace string"),
     "fulltext_actions": _schema("index string, id string, source string"),
     "text_objects": _schema("title string, content string, source string, page_number int"),
     "jobs": _schema(
@@ -39,7 +56,7 @@ TABLES = {
         "publication_number string, title string, abstract string, url string, country string, "
         "publication_date string"
     ),
-    "messages": _schema("messages array<struct<role:string,content:string>>"),
+    "messages": _schema("messages turns"),
     "questions": _schema("question string, answer string, category string"),
 }
 
