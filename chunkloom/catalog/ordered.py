@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import filters, merging, sections, tables
+from ..operators.segments import longest_document
 from ..plans import domains
 from ..sinks import records
 from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, merged_sql, query, table, words
@@ -15,7 +16,8 @@ LO, HI = 25, 90
 
 @query(f"WITH {CHUNKS}, {merged_sql(LO, HI)} SELECT * FROM m")
 def merge_small_chunks(spark, sf):
-    return merging.merge_small_chunks(conversation_chunks(spark, sf), LO, HI, tables=False)
+    merged = merging.merge_small_chunks(conversation_chunks(spark, sf), LO, HI, tables=False)
+    return merged.drop("idx")
 
 
 @query(
@@ -33,7 +35,7 @@ def merge_chunks_with_tables(spark, sf):
         F.lit("</td></tr></table>"),
     )
     chunks = conversation_chunks(spark, sf).withColumn("text", text)
-    return merging.merge_small_chunks(chunks, LO, HI)
+    return merging.merge_small_chunks(chunks, LO, HI, longest=longest_document(chunks)).drop("idx")
 
 
 @query(
@@ -45,11 +47,13 @@ FROM m JOIN documents d USING (doc_id)"""
 )
 def index_ready_chunks(spark, sf):
     """Merge, clean, number and attach metadata: the core of every index build."""
-    merged = merging.merge_small_chunks(conversation_chunks(spark, sf), LO, HI, tables=False)
-    cleaned = merged.withColumn("text", tx.fix_utf8(F.col("text")))
+    chunks = conversation_chunks(spark, sf)
     meta = table(spark, sf, "documents").select("doc_id", "lang", "source")
-    numbered = merging.assign_chunk_ids(cleaned, meta=meta)
-    return numbered.select("doc_id", "text", "page_number", "lang", "source", "idx", "chunk_id")
+    merged = merging.merge_small_chunks(
+        chunks, LO, HI, tables=False, meta=meta, longest=longest_document(chunks)
+    )
+    cleaned = merged.withColumn("text", tx.fix_utf8(F.col("text")))
+    return cleaned.select("doc_id", "text", "page_number", "lang", "source", "idx", merging.chunk_id().alias("chunk_id"))
 
 
 @query(
@@ -271,7 +275,7 @@ SELECT 'chunks' AS "index", doc_id || '_' || idx AS id, idx // 2 AS bulk,
 )
 def fulltext_actions(spark, sf):
     merged = merging.merge_small_chunks(conversation_chunks(spark, sf), LO, HI, tables=False)
-    ready = merging.assign_chunk_ids(merged).withColumn("rec_id", F.col("doc_id").cast("string"))
+    ready = merged.withColumns({"rec_id": F.col("doc_id").cast("string"), "chunk_id": merging.chunk_id()})
     return records.fulltext_actions(ready, "chunks", ["text", "rec_id", "page_number"], slice_entries=4)
 
 
@@ -445,7 +449,10 @@ def _conversation_domain(name, spark, sf):
         F.lit("2020-01-03 00:00:00").cast("timestamp_ntz").alias("release_date"),
         F.lit("2020-01-03 00:00:00").cast("timestamp_ntz").alias("effective_date"),
     )
-    fulltext, _, _ = domains.build_index(name, conversation_chunks(spark, sf), meta, lo=LO, hi=HI)
+    chunks = conversation_chunks(spark, sf)
+    fulltext, _, _ = domains.build_index(
+        name, chunks, meta, lo=LO, hi=HI, longest=longest_document(chunks)
+    )
     return fulltext
 
 

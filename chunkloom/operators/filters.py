@@ -29,29 +29,28 @@ def drop_page_furniture(elements: DataFrame) -> DataFrame:
     return elements.filter(~F.col("category").isin("Header", "Footer"))
 
 
-def cut_from_first(rows: DataFrame, condition: Column) -> DataFrame:
+def cut_from_first(rows: DataFrame, condition: Column, longest: int | None = None) -> DataFrame:
     """Drop the first row of each document that meets the condition, and all rows after it."""
-    cut = scan(rows, "doc_id", "pos", {"_cut": Whole("min", F.when(condition, F.col("pos")))})
+    cut = scan(rows, "doc_id", "pos", {"_cut": Whole("min", F.when(condition, F.col("pos")))}, longest=longest)
     return cut.filter(F.col("_cut").isNull() | (F.col("pos") < F.col("_cut"))).drop("_cut")
 
 
-def cut_back_matter(elements: DataFrame, keywords: list[str] = tx.BACK_MATTER) -> DataFrame:
+def cut_back_matter(elements: DataFrame, keywords: list[str] = tx.BACK_MATTER, longest: int | None = None) -> DataFrame:
     """Drop everything from the first title that opens the back matter."""
     return cut_from_first(
-        elements, (F.col("category") == "Title") & tx.is_back_matter(F.col("text"), keywords)
-    )
+        elements, (F.col("category") == "Title") & tx.is_back_matter(F.col("text"), keywords), longest=longest)
 
 
-def cut_chunks_at_keyword(chunks: DataFrame, keywords: list[str] = tx.CHUNK_KEYWORDS) -> DataFrame:
+def cut_chunks_at_keyword(chunks: DataFrame, keywords: list[str] = tx.CHUNK_KEYWORDS, longest: int | None = None) -> DataFrame:
     """Drop everything from the first text chunk whose first line holds a keyword."""
     hit = tx.contains_any(tx.first_line(F.col("text")), keywords)
     if "kind" in chunks.columns:
         hit = hit & (F.col("kind") == "Composite")
-    return cut_from_first(chunks, hit)
+    return cut_from_first(chunks, hit, longest=longest)
 
 
 def slice_between_last(
-    elements: DataFrame, start: str = "Source", stop: str = "Restriction of Use"
+    elements: DataFrame, start: str = "Source", stop: str = "Restriction of Use", longest: int | None = None
 ) -> DataFrame:
     """Elements from the last title ``start`` up to, not including, the last element that begins with
     ``stop``; slices of one element are dropped."""
@@ -63,10 +62,9 @@ def slice_between_last(
         {
             "_a": Whole("max", F.when(is_start, F.col("pos"))),
             "_b": Whole("max", F.when(F.col("text").startswith(stop), F.col("pos"))),
-        },
-    )
+        }, longest=longest)
     inside = (F.col("pos") >= F.col("_a")) & (F.col("_b").isNull() | (F.col("pos") < F.col("_b")))
-    counted = scan(bounds.filter(inside), "doc_id", "pos", {"_n": Whole("count", F.lit(True))})
+    counted = scan(bounds.filter(inside), "doc_id", "pos", {"_n": Whole("count", F.lit(True))}, longest=longest)
     return counted.filter("_n > 1").select(*elements.columns)
 
 
@@ -109,8 +107,8 @@ def image_large_enough(points: Column, min_width: int = 250, min_height: int = 2
     return F.coalesce(wide & high, F.lit(False))
 
 
-def drop_last_chunk(chunks: DataFrame) -> DataFrame:
-    last = scan(chunks, "doc_id", "pos", {"_last": Whole("max", F.col("pos"))})
+def drop_last_chunk(chunks: DataFrame, longest: int | None = None) -> DataFrame:
+    last = scan(chunks, "doc_id", "pos", {"_last": Whole("max", F.col("pos"))}, longest=longest)
     return last.filter("pos < _last").drop("_last")
 
 
@@ -123,13 +121,13 @@ def size_cap(docs: DataFrame, cap: int = 30 * 1024 * 1024) -> DataFrame:
     return docs.withColumn("content", F.when(F.length("content") < cap, F.col("content")))
 
 
-def page_subset(elements: DataFrame, policy: str = "first", n: int = 3) -> DataFrame:
+def page_subset(elements: DataFrame, policy: str = "first", n: int = 3, longest: int | None = None) -> DataFrame:
     """``first``: the first n pages. ``ends``: the first and the last n pages."""
     near_start = F.col("page_number") <= n
     if policy == "first":
         return elements.filter(near_start)
     if policy == "ends":
-        pages = scan(elements, "doc_id", "pos", {"_pages": Whole("max", F.col("page_number"))})
+        pages = scan(elements, "doc_id", "pos", {"_pages": Whole("max", F.col("page_number"))}, longest=longest)
         return pages.filter(near_start | (F.col("page_number") > F.col("_pages") - n)).drop("_pages")
     raise ValueError(f"unknown page policy: {policy}")
 

@@ -17,9 +17,9 @@ from ..functions import paths
 from .segments import scan
 
 
-def attach_metadata(chunks: DataFrame, meta: DataFrame) -> DataFrame:
+def attach_metadata(chunks: DataFrame, meta: DataFrame, longest: int | None = None) -> DataFrame:
     """Inner join of ordered chunks with one metadata row per document, balanced for large documents."""
-    return scan(chunks, "doc_id", "pos", {}, attach=meta)
+    return scan(chunks, "doc_id", "pos", {}, attach=meta, longest=longest)
 
 
 def attach_by_encoded_path(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.tokens import Counter, word_count
 from .segments import Running, Whole, concat_ordered, number_rows, scan
-from .tables import tables_in_chunks
+from .tables import tables_of
 
 LOW, HIGH = 15, 8100
 
@@ -21,56 +21,87 @@ def merge_small_chunks(
     label: str = "page_number",
     tables: bool = True,
     keep_text: bool = False,
+    meta: DataFrame | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Prefix short chunks to the next chunk of ordinary size.
 
-    Input ``doc_id, pos, text, <label>``; output ``doc_id, pos, sub, text, <label>`` in document order.
+    Input ``doc_id, pos, text, <label>``, and ``n_tokens`` if it was counted before. Output
+    ``doc_id, pos, sub, idx, text, <label>`` and the columns of ``meta`` (one row per document, inner
+    join); ``idx`` counts the output of a document from zero.
+
     A chunk shorter than ``lo`` waits (with one space) for the next chunk of ``lo..hi`` tokens, whose
     label the merged chunk takes. A chunk longer than ``hi`` is replaced at its place by the tables in
     it, each cut to size; its other text is dropped unless ``keep_text``. What still waits at the end
     forms a last chunk labelled like the last row of the document.
     """
-    sized = chunks.select("doc_id", "pos", "text", label, counter(F.col("text")).alias("_n"))
-    is_big, is_small = F.col("_n") > hi, F.col("_n") < lo
+    n_tokens = F.col("n_tokens") if "n_tokens" in chunks.columns else counter(F.col("text"))
+    sized = chunks.select("doc_id", "pos", "text", label, n_tokens.alias("_n"))
+    sized = sized.withColumns(
+        {"_big": F.col("_n") > hi, "_mid": (F.col("_n") >= lo) & (F.col("_n") <= hi)}
+    )
+    if keep_text:
+        parts = F.when(F.col("_big"), F.array("text"))
+    elif tables:
+        # Only oversize chunks with table markup hand their text to Python; all others hand over null.
+        marked = F.col("_big") & F.contains(F.lower("text"), F.lit("<table"))
+        parts = tables_of(F.when(marked, F.col("text")), hi, counter)
+    else:
+        parts = F.lit(None).cast("array<string>")
+    sized = sized.withColumn("_parts", parts)
+    n_parts = F.coalesce(F.array_size("_parts"), F.lit(0)).cast("long")
+    sized = sized.withColumn("text", F.when(~F.col("_big"), F.col("text")))
     flagged = scan(
-        sized.withColumn("_mid", ~is_big & ~is_small),
+        sized,
         "doc_id",
         "pos",
         {
             "_grp": Running("count", F.col("_mid"), inclusive=False),
+            "_tab": Running("sum", n_parts, inclusive=False),
+            "_n_grp": Whole("count", F.col("_mid")),
+            "_n_tab": Whole("sum", n_parts),
             "_last_pos": Whole("max", F.col("pos")),
             "_last_label": Whole("at_end", F.col(label)),
         },
+        attach=meta,
+        longest=longest,
     )
-    pieces = flagged.filter(~is_big).withColumn(
-        "_piece", F.when(F.col("_mid"), F.col("text")).otherwise(F.concat("text", F.lit(" ")))
+    before = F.col("_grp") + F.coalesce("_tab", F.lit(0))
+    piece = F.when(F.col("_mid"), F.col("text")).otherwise(F.concat("text", F.lit(" ")))
+    items = F.when(F.col("_big"), F.col("_parts")).otherwise(F.array(piece))
+    details = [c for c in meta.columns if c != "doc_id"] if meta is not None else []
+    pieces = flagged.withColumn("_at", before).select(
+        "doc_id", "pos", label, "_big", "_mid", "_at", "_n_grp", "_n_tab", "_last_pos", "_last_label",
+        F.when(~F.col("_big"), F.col("_grp")).alias("_grp"),
+        F.when(F.col("_big"), F.col("pos")).alias("_own"),
+        F.posexplode(items).alias("sub", "_piece"),
+        *details,
+    )
+    # Metadata columns depend on the document, as grouping columns they cost no aggregate.
+    closing = F.col("_mid") | F.col("_big")
+    merged = pieces.groupBy("doc_id", "_grp", "_own", "sub", *details).agg(
+        concat_ordered("_piece", ["pos"]).alias("text"),
+        F.max(F.when(closing, F.col("pos"))).alias("_end"),
+        F.max(F.when(closing, F.col(label))).alias("_label"),
+        F.max(F.when(closing, F.col("_at"))).alias("_at"),
+        F.max("_last_pos").alias("_last_pos"),
+        F.max("_last_label").alias("_last_label"),
+        F.max(F.col("_n_grp") + F.coalesce("_n_tab", F.lit(0))).alias("_n_before_tail"),
     )
-    merged = (
-        pieces.groupBy("doc_id", "_grp")
-        .agg(
-            concat_ordered("_piece", ["pos"]).alias("text"),
-            F.max("pos").alias("_end"),
-            F.bool_or("_mid").alias("_closed"),
-            F.max(F.when(F.col("_mid"), F.col(label))).alias("_mid_label"),
-            F.max("_last_pos").alias("_last_pos"),
-            F.max("_last_label").alias("_last_label"),
-        )
-        .select(
-            "doc_id",
-            F.when(F.col("_closed"), F.col("_end")).otherwise(F.col("_last_pos") + 1).alias("pos"),
-            F.lit(0).alias("sub"),
-            "text",
-            F.when(F.col("_closed"), F.col("_mid_label")).otherwise(F.col("_last_label")).alias(label),
-        )
+    closed = F.col("_end").isNotNull()
+    return merged.select(
+        "doc_id",
+        F.when(closed, F.col("_end")).otherwise(F.col("_last_pos") + 1).alias("pos"),
+        "sub",
+        F.when(closed, F.col("_at") + F.col("sub")).otherwise(F.col("_n_before_tail")).alias("idx"),
+        "text",
+        F.when(closed, F.col("_label")).otherwise(F.col("_last_label")).alias(label),
+        *details,
     )
-    if not tables and not keep_text:
-        return merged
-    oversize = sized.filter(is_big)
-    if keep_text:
-        extra = oversize.select("doc_id", "pos", F.lit(0).alias("sub"), "text", label)
-    else:
-        extra = tables_in_chunks(oversize, hi, counter).select("doc_id", "pos", "sub", "text", label)
-    return merged.unionByName(extra)
+
+
+def chunk_id() -> Column:
+    return F.concat_ws("_", F.col("doc_id").cast("string"), F.col("idx").cast("string"))
 
 
 def oversize_report(chunks: DataFrame, hi: int = HIGH, counter: Counter = word_count) -> DataFrame:
@@ -78,7 +109,7 @@ def oversize_report(chunks: DataFrame, hi: int = HIGH, counter: Counter = word_c
     return chunks.groupBy("doc_id").agg(F.count_if(counter(F.col("text")) > hi).alias("n_oversize"))
 
 
-def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text") -> DataFrame:
+def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text", longest: int | None = None) -> DataFrame:
     """Append each table to the text row before it.
 
     Input ``doc_id, pos, kind, text, html, page_number``; a row of kind ``Table`` joins the previous row
@@ -97,8 +128,7 @@ def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text") ->
         rows.withColumn("_piece", F.when(is_table, table_text).otherwise(F.col("text"))),
         "doc_id",
         "pos",
-        {"_grp": Running("count", ~is_table)},
-    )
+        {"_grp": Running("count", ~is_table)}, longest=longest)
     return (
         grouped.groupBy("doc_id", "_grp")
         .agg(
@@ -110,7 +140,7 @@ def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text") ->
     )
 
 
-def merge_title_blocks(chunks: DataFrame) -> DataFrame:
+def merge_title_blocks(chunks: DataFrame, longest: int | None = None) -> DataFrame:
     """Put runs of title lines in front of the body that follows; trailing titles end the last body."""
     is_title = tx.is_title_line(F.col("text"))
     grouped = scan(
@@ -120,8 +150,7 @@ def merge_title_blocks(chunks: DataFrame) -> DataFrame:
         {
             "_grp": Running("count", ~F.col("_title"), inclusive=False),
             "_bodies": Whole("count", ~F.col("_title")),
-        },
-    )
+        }, longest=longest)
     # Group g holds the titles before body g and body g itself; the group after the last body has
     # titles only and goes to the last body, if there is one.
     home = F.when(
@@ -135,7 +164,7 @@ def merge_title_blocks(chunks: DataFrame) -> DataFrame:
     )
 
 
-def absorb_short_tail(chunks: DataFrame, below: int = 10) -> DataFrame:
+def absorb_short_tail(chunks: DataFrame, below: int = 10, longest: int | None = None) -> DataFrame:
     """Append a last chunk of fewer than ``below`` characters to the chunk before it."""
     short = F.length("text") < below
     marked = scan(
@@ -146,8 +175,7 @@ def absorb_short_tail(chunks: DataFrame, below: int = 10) -> DataFrame:
             "_i": Running("count", F.lit(True)),
             "_n": Whole("count", F.lit(True)),
             "_tail": Whole("at_end", F.when(short, F.col("text"))),
-        },
-    )
+        }, longest=longest)
     folds = (F.col("_n") >= 2) & F.col("_tail").isNotNull()
     return (
         marked.filter(~(folds & (F.col("_i") == F.col("_n"))))
@@ -162,7 +190,10 @@ def absorb_short_tail(chunks: DataFrame, below: int = 10) -> DataFrame:
 
 
 def assign_chunk_ids(
-    chunks: DataFrame, ties: tuple[str, ...] = ("sub",), meta: DataFrame | None = None
+    chunks: DataFrame,
+    ties: tuple[str, ...] = ("sub",),
+    meta: DataFrame | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add ``idx`` (from zero, in output order) and ``chunk_id`` = ``<doc>_<idx>``.
 
@@ -170,18 +201,18 @@ def assign_chunk_ids(
     metadata are left out.
     """
     present = tuple(t for t in ties if t in chunks.columns)
-    numbered = number_rows(chunks, "doc_id", "pos", "idx", present, attach=meta)
-    return numbered.withColumn("chunk_id", F.concat_ws("_", F.col("doc_id").cast("string"), F.col("idx")))
+    numbered = number_rows(chunks, "doc_id", "pos", "idx", present, attach=meta, longest=longest)
+    return numbered.withColumn("chunk_id", chunk_id())
 
 
-def skip_blank_keep_index(records: DataFrame) -> DataFrame:
+def skip_blank_keep_index(records: DataFrame, longest: int | None = None) -> DataFrame:
     """Number first, then drop blank texts, so that the ids keep their gaps."""
-    return assign_chunk_ids(records).filter(~tx.is_blank(F.col("text")))
+    return assign_chunk_ids(records, longest=longest).filter(~tx.is_blank(F.col("text")))
 
 
-def fixed_groups(chunks: DataFrame, size: int = 10) -> DataFrame:
+def fixed_groups(chunks: DataFrame, size: int = 10, longest: int | None = None) -> DataFrame:
     """Consecutive groups of ``size`` chunks joined by a space; an incomplete last group is dropped."""
-    numbered = number_rows(chunks.select("doc_id", "pos", "text"), "doc_id", "pos")
+    numbered = number_rows(chunks.select("doc_id", "pos", "text"), "doc_id", "pos", longest=longest)
     return (
         numbered.groupBy("doc_id", F.floor(F.col("idx") / size).alias("grp"))
         .agg(concat_ordered("text", ["pos"], " ").alias("text"), F.count("*").alias("_n"))
@@ -190,11 +221,11 @@ def fixed_groups(chunks: DataFrame, size: int = 10) -> DataFrame:
     )
 
 
-def title_content(chunks: DataFrame, policy: str = "plain") -> DataFrame:
+def title_content(chunks: DataFrame, policy: str = "plain", longest: int | None = None) -> DataFrame:
     """``title`` and ``content`` of each chunk; ``carry`` re-uses the latest title of the document."""
     if policy == "carry":
         heads = chunks.withColumn("_head", tx.split_title(F.col("text"), "drop").getField("title"))
-        carried = scan(heads, "doc_id", "pos", {"title": Running("last", F.col("_head"))})
+        carried = scan(heads, "doc_id", "pos", {"title": Running("last", F.col("_head"))}, longest=longest)
         return carried.withColumn("content", F.col("text")).drop("_head")
     pair = chunks.withColumn("_pair", tx.split_title(F.col("text"), policy))
     if policy == "drop":
@@ -223,7 +254,7 @@ def document_text(chunks: DataFrame, with_pages: str | None = None) -> Column:
     return F.concat(F.lit("Page "), page, F.lit(":\n"), F.col("title"), F.lit("\n"), F.col("content"))
 
 
-def render_text(chunks: DataFrame, with_pages: str | None = None, part_chunks: int = 10_000) -> DataFrame:
+def render_text(chunks: DataFrame, with_pages: str | None = None, part_chunks: int = 10_000, longest: int | None = None) -> DataFrame:
     """Plain text of each document, chunks parted by a dashed line.
 
     A document of more than ``part_chunks`` positions comes out in several parts; the file is the parts
@@ -233,8 +264,7 @@ def render_text(chunks: DataFrame, with_pages: str | None = None, part_chunks: i
         chunks.withColumn("_body", document_text(chunks, with_pages)),
         "doc_id",
         "pos",
-        {"_first": Whole("min", F.col("pos"))},
-    )
+        {"_first": Whole("min", F.col("pos"))}, longest=longest)
     piece = F.when(F.col("pos") == F.col("_first"), F.col("_body")).otherwise(
         F.concat(F.lit("\n----------\n"), F.col("_body"))
     )

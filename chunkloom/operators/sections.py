@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 from .segments import BLOCK_ROWS, Running, concat_ordered, scan
@@ -82,7 +81,11 @@ def _follow(runs, length: int, start: int) -> tuple[int, int]:
 
 def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
     """``doc_id, _blk, _open, _from``: state on entry to every block but the first of a long document."""
-    narrow = elements.select("doc_id", "_blk", "pos", "_n", "_title", "_barrier")
+    n = F.length("text")
+    narrow = elements.select(
+        "doc_id", "_blk", "pos", n.alias("_n"), "_title",
+        (F.col("_table") | (n > profile.max_chars)).alias("_barrier"),
+    )
     long_docs = (
         narrow.groupBy("doc_id")
         .agg(F.min("_blk").alias("_b0"), F.max("_blk").alias("_b1"))
@@ -124,50 +127,78 @@ def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
     )
 
 
-def _label_chunks(profile: Profile):
-    """Task function: streams over sorted rows and names the chunk each element belongs to."""
-    soft, hard, under, sep = profile.soft, profile.max_chars, profile.combine_under, len(SEP)
+def _cut(text: str, limit: int) -> list[str]:
+    """Pieces of at most ``limit`` characters, cut at the last space that allows it."""
+    pieces = []
+    while len(text) > limit:
+        space = text.rfind(" ", 1, limit + 1)
+        end = space if space > 0 else limit
+        pieces.append(text[:end])
+        text = text[end:].lstrip(" ")
+    return pieces + [text] if text else pieces
+
+
+_PACKED = ["doc_id", "_blk", "pos", "sub", "kind", "text", "page_number", "html"]
+
+
+def _pack(profile: Profile):
+    """Task function: streams over sorted elements and writes chunks as they close.
+
+    A chunk that is still open at the end of a block, or was open at its start, comes out in parts that
+    share its first position.
+    """
+    soft, hard, under = profile.soft, profile.max_chars, profile.combine_under
+    columns = ["doc_id", "_blk", "pos", "text", "page_number", "html", "_title", "_table", "_open", "_from"]
+
+    def frame(rows):
+        return pd.DataFrame(rows, columns=_PACKED).astype({"page_number": "Int32"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, length, start = None, 0, -1
+        at, length, start, texts, page, out = None, 0, -1, [], None, []
+
+        def close():
+            if texts:
+                out.append((*at, start, 0, "Composite", SEP.join(texts), page, None))
+                texts.clear()
+
         for batch in batches:
-            chunk = []
-            columns = ["doc_id", "_blk", "pos", "_n", "_title", "_barrier", "_open", "_from"]
-            for doc, blk, pos, n, title, barrier, entry, began in zip(*(batch[c] for c in columns)):
+            for doc, blk, pos, text, number, html, title, table, entry, began in zip(
+                *(batch[c] for c in columns)
+            ):
                 if at != (doc, blk):
-                    at, length, start = (doc, blk), int(entry), int(began)
-                if barrier:
+                    close()
+                    at, length, start, page = (doc, blk), int(entry), int(began), number
+                n = len(text)
+                if table or n > hard:
+                    close()
                     length, start = 0, -1
-                    chunk.append(pos)
+                    kind = "Table" if table else "Composite"
+                    pieces = _cut(text, hard)
+                    whole = html if len(pieces) == 1 else None
+                    out.extend((doc, blk, pos, i, kind, p, number, whole) for i, p in enumerate(pieces))
                     continue
-                if length == 0 or length + sep + n > hard or (title and length >= under):
-                    length, start = n, pos
+                if length == 0 or length + len(SEP) + n > hard or (title and length >= under):
+                    close()
+                    length, start, page = n, pos, number
                 else:
-                    length += sep + n
-                chunk.append(start)
+                    length += len(SEP) + n
+                texts.append(text)
                 if length >= soft:
+                    close()
                     length, start = 0, -1
-            yield batch.assign(_chunk=chunk)
+            yield frame(out)
+            out = []
+        close()
+        yield frame(out)
 
     return run
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _cut_long(texts: pd.Series, limits: pd.Series) -> pd.Series:
-    def pieces(text, limit):
-        out = []
-        while len(text) > limit:
-            cut = text.rfind(" ", 1, limit + 1)
-            cut = limit if cut <= 0 else cut
-            out.append(text[:cut])
-            text = text[cut:].lstrip(" ")
-        return out + [text] if text else out
-
-    return pd.Series([pieces(t, m) for t, m in zip(texts, limits)])
-
-
 def chunk_by_title(
-    elements: DataFrame, profile: Profile | str = "pdf", block_rows: int = BLOCK_ROWS
+    elements: DataFrame,
+    profile: Profile | str = "pdf",
+    block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Pack elements into chunks led by titles.
 
@@ -180,64 +211,53 @@ def chunk_by_title(
     Packing depends on everything before it in the document, yet no task gets a whole document: the
     length of the open chunk is the only state, so each block of elements is first summarised as a map
     from entry to exit length, the maps are chained, and the blocks are then packed independently.
+    With ``longest`` (the largest position) showing that no document needs a second block, one shuffle
+    and one pass are all there is.
     """
     profile = PROFILES[profile] if isinstance(profile, str) else profile
+    one_block = longest is not None and longest < block_rows
     rows = elements.filter(~tx.is_blank(F.col("text"))).select(
         "doc_id",
         "pos",
         "text",
-        "page_number",
+        F.col("page_number").cast("int").alias("page_number"),
         "html",
-        F.floor(F.col("pos") / block_rows).alias("_blk"),
-        F.length("text").alias("_n"),
+        (F.lit(0).cast("long") if one_block else F.expr(f"pos div {block_rows}")).alias("_blk"),
         (F.col("category") == "Title").alias("_title"),
         (F.col("category") == "Table").alias("_table"),
-        ((F.col("category") == "Table") | (F.length("text") > profile.max_chars)).alias("_barrier"),
-    )
-    alone = rows.filter("_barrier").withColumn(
-        "_pieces",
-        F.when(F.col("_n") > profile.max_chars, _cut_long("text", F.lit(profile.max_chars))).otherwise(
-            F.array("text")
-        ),
-    )
-    alone = alone.select(
-        "doc_id",
-        "pos",
-        F.posexplode("_pieces").alias("sub", "text"),
-        F.when(F.col("_table"), F.lit("Table")).otherwise(F.lit("Composite")).alias("kind"),
-        "page_number",
-        F.when(F.size("_pieces") == 1, F.col("html")).alias("html"),
     )
-    packed = rows.join(_entries_of_blocks(rows, profile), ["doc_id", "_blk"], "left").select(
-        "doc_id", "pos", "text", "page_number", "_blk", "_n", "_title", "_barrier",
-        F.coalesce("_open", F.lit(0)).alias("_open"), F.coalesce("_from", F.lit(-1)).alias("_from"),
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in packed.schema.fields}
-    schema = ", ".join(f"{k} {v}" for k, v in kinds.items()) + ", _chunk long"
-    labelled = (
-        packed.repartition("doc_id", "_blk")
+    no_open, no_start = F.lit(0), F.lit(-1).cast("long")
+    if one_block:
+        placed = rows.withColumns({"_open": no_open, "_from": no_start})
+    else:
+        placed = rows.join(_entries_of_blocks(rows, profile), ["doc_id", "_blk"], "left").withColumns(
+            {"_open": F.coalesce("_open", no_open), "_from": F.coalesce("_from", no_start)}
+        )
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    kinds |= {"sub": "int", "kind": "string"}
+    packed = (
+        placed.repartition("doc_id", "_blk")
         .sortWithinPartitions("doc_id", "_blk", "pos")
-        .mapInPandas(_label_chunks(profile), schema)
-        .filter("not _barrier")
+        .mapInPandas(_pack(profile), ", ".join(f"{c} {kinds[c]}" for c in _PACKED))
     )
-    composite = labelled.groupBy("doc_id", F.col("_chunk").alias("pos")).agg(
-        concat_ordered("text", ["pos"], SEP).alias("text"),
-        F.min_by("page_number", labelled["pos"]).alias("page_number"),
+    if one_block:
+        return packed.drop("_blk")
+    # Parts of a chunk that spans blocks are joined; all other groups have one row.
+    joined = packed.groupBy("doc_id", "pos", "sub", "kind").agg(
+        concat_ordered("text", ["_blk"], SEP).alias("text"),
+        F.min_by("page_number", "_blk").alias("page_number"),
+        F.max("html").alias("html"),
     )
-    composite = composite.select(
-        "doc_id", "pos", F.lit(0).alias("sub"), F.lit("Composite").alias("kind"), "text", "page_number",
-        F.lit(None).cast("string").alias("html"),
-    )
-    return composite.unionByName(alone)
+    return joined.select(*[c for c in _PACKED if c != "_blk"])
 
 
-def heading_sections(paragraphs: DataFrame) -> DataFrame:
+def heading_sections(paragraphs: DataFrame, longest: int | None = None) -> DataFrame:
     """Body under each heading: ``doc_id, pos, heading, body``.
 
     Input ``doc_id, pos, is_heading, text``. Text before the first heading and under an empty heading
     is dropped; a heading that comes again keeps its first place and its last body.
     """
-    grouped = scan(paragraphs, "doc_id", "pos", {"_grp": Running("count", F.col("is_heading"))})
+    grouped = scan(paragraphs, "doc_id", "pos", {"_grp": Running("count", F.col("is_heading"))}, longest=longest)
     body = F.when(~F.col("is_heading"), F.col("text"))
     sections = (
         grouped.filter("_grp > 0")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ..session import cut_lineage
 
@@ -42,23 +42,36 @@ class Whole:
     value: Column
 
 
+_REDUCE = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
+
+
 def _input(spec: Running | Whole) -> Column:
     if spec.kind == "count":
         return F.when(spec.value, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    if spec.kind == "at_end":
-        return F.struct(spec.value.alias("v"))
     return spec.value
 
 
-_REDUCE = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
+def _running(spec: Running, column: str, ordered: WindowSpec) -> Column:
+    frame = ordered.rowsBetween(Window.unboundedPreceding, 0 if spec.inclusive else -1)
+    over = F.last(column, ignorenulls=True) if spec.kind == "last" else _REDUCE[spec.kind](column)
+    return over.over(frame)
+
+
+def _whole(spec: Whole, column: str, document: WindowSpec, order: list[str]) -> Column:
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    if spec.kind == "at_end":
+        return F.last(column).over(document.orderBy(*order).rowsBetween(*everything))
+    return _REDUCE[spec.kind](column).over(document)
 
 
-def _block_value(kind: str, name: str, order: list[str]) -> Column:
-    if kind == "last":
-        return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order)))
-    if kind == "at_end":
-        return F.max_by(name, F.struct(*order))
-    return _REDUCE[kind](name)
+def _block_value(spec: Running | Whole, name: str, order: list[str]) -> Column:
+    # A single numeric order keeps the aggregate buffer fixed in size, so it stays a hash aggregate.
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    if spec.kind == "last":
+        return F.max_by(name, F.when(F.col(name).isNotNull(), at))
+    if spec.kind == "at_end":
+        return F.max_by(name, at)
+    return _REDUCE[spec.kind](name)
 
 
 def _merge(kind: str, local: Column, carry: Column) -> Column:
@@ -71,65 +84,94 @@ def _merge(kind: str, local: Column, carry: Column) -> Column:
     return F.coalesce(local, carry)
 
 
+def longest_document(df: DataFrame, pos: str = "pos") -> int:
+    """Largest position in a table: one small job that reads a single column.
+
+    Worth running on stored tables. Passed as ``longest`` it lets an operator use plain windows when no
+    document reaches a second block.
+    """
+    return df.agg(F.max(pos)).first()[0] or 0
+
+
 def scan(
     df: DataFrame,
     key: str,
     pos: str,
     specs: dict[str, Running | Whole],
     ties: tuple[str, ...] = (),
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     attach: DataFrame | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add one column per spec, computed per ``key`` in the order (``pos``, ``ties``).
 
-    ``pos`` is a whole number that grows along the document; ``key`` and ``pos`` are never null.
-    ``attach`` is a table with one row per key whose columns are added by an inner join. It meets the
-    block summaries and not the rows, so the rows are shuffled once for the scan and the join, and a
-    large document does not skew the join.
+    ``pos`` is a whole number from zero that grows along the document; ``key`` and ``pos`` are never
+    null. ``attach`` is a table with one row per key whose columns are added by an inner join.
+    ``longest`` is the largest position there is, if it was measured: when it fits one block, documents
+    are scanned whole and everything that follows per document needs no further shuffle.
     """
+    block_rows = block_rows or BLOCK_ROWS
     order = [pos, *ties]
-    rows = df.withColumns(
-        {"_blk": F.floor(F.col(pos) / F.lit(block_rows)), **{f"_in_{n}": _input(s) for n, s in specs.items()}}
-    )
-    values = [_block_value(s.kind, f"_in_{n}", order).alias(f"_b_{n}") for n, s in specs.items()]
-    summary = rows.groupBy(key, "_blk").agg(*values) if values else rows.select(key, "_blk").distinct()
+    rows = df.withColumns({f"_in_{n}": _input(s) for n, s in specs.items()})
+    if longest is not None and longest < block_rows:
+        scanned, values = _scan_documents(rows, key, order, specs, attach)
+    else:
+        scanned, values = _scan_blocks(rows, key, order, specs, attach, block_rows)
+    out = {
+        n: F.coalesce(values[n], F.lit(0)).cast("long") if s.kind == "count" else values[n]
+        for n, s in specs.items()
+    }
+    kept = [c for c in df.columns if c not in out]
+    attached = [c for c in attach.columns if c != key] if attach is not None else []
+    return scanned.select(*kept, *[v.alias(n) for n, v in out.items()], *attached)
+
+
+def _scan_documents(rows, key, order, specs, attach):
     document = Window.partitionBy(key)
-    before = document.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    everything = document.orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    values = {
+        n: _running(s, f"_in_{n}", document.orderBy(*order))
+        if isinstance(s, Running)
+        else _whole(s, f"_in_{n}", document, order)
+        for n, s in specs.items()
+    }
+    scanned = rows.withColumns({f"_v_{n}": v for n, v in values.items()}) if values else rows
+    if attach is not None:
+        scanned = scanned.join(attach, key)
+    return scanned, {n: F.col(f"_v_{n}") for n in values}
+
+
+def _scan_blocks(rows, key, order, specs, attach, block_rows):
+    rows = rows.withColumn("_blk", F.expr(f"`{order[0]}` div {block_rows}"))
+    totals = [_block_value(s, f"_in_{n}", order).alias(f"_b_{n}") for n, s in specs.items()]
+    summary = rows.groupBy(key, "_blk").agg(*totals) if totals else rows.select(key, "_blk").distinct()
+    blocks = Window.partitionBy(key)
+    before = blocks.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carried = []
     for name, spec in specs.items():
         block = f"_b_{name}"
         if isinstance(spec, Whole):
-            over = F.last(block) if spec.kind == "at_end" else _REDUCE[spec.kind](block)
-            carried.append(over.over(everything).alias(f"_c_{name}"))
+            over = _whole(spec, block, blocks, ["_blk"])
+        elif spec.kind == "last":
+            over = F.last(block, ignorenulls=True).over(before)
         else:
-            over = F.last(block, ignorenulls=True) if spec.kind == "last" else _REDUCE[spec.kind](block)
-            carried.append(over.over(before).alias(f"_c_{name}"))
+            over = _REDUCE[spec.kind](block).over(before)
+        carried.append(over.alias(f"_c_{name}"))
     summary = summary.select(key, "_blk", *carried)
-    attached = [c for c in attach.columns if c != key] if attach is not None else []
     if attach is not None:
+        # Metadata meets the block summaries and not the rows: a large document does not skew the join,
+        # and the rows are shuffled once for scan and join together.
         summary = summary.join(attach, key)
 
     block_scan = Window.partitionBy(key, "_blk").orderBy(*order)
-    local = {}
-    for name, spec in specs.items():
-        if isinstance(spec, Running):
-            frame = block_scan.rowsBetween(Window.unboundedPreceding, 0 if spec.inclusive else -1)
-            column = f"_in_{name}"
-            over = F.last(column, ignorenulls=True) if spec.kind == "last" else _REDUCE[spec.kind](column)
-            local[f"_l_{name}"] = over.over(frame)
+    local = {
+        f"_l_{n}": _running(s, f"_in_{n}", block_scan) for n, s in specs.items() if isinstance(s, Running)
+    }
     joined = (rows.withColumns(local) if local else rows).join(summary, [key, "_blk"])
-
-    out = {}
-    for name, spec in specs.items():
-        if isinstance(spec, Whole):
-            value = F.col(f"_c_{name}")
-            out[name] = value.getField("v") if spec.kind == "at_end" else value
-        else:
-            value = _merge(spec.kind, F.col(f"_l_{name}"), F.col(f"_c_{name}"))
-            out[name] = F.coalesce(value, F.lit(0)).cast("long") if spec.kind == "count" else value
-    kept = [c for c in df.columns if c not in out]
-    return joined.select(*kept, *[v.alias(n) for n, v in out.items()], *attached)
+    values = {
+        n: _merge(s.kind, F.col(f"_l_{n}"), F.col(f"_c_{n}")) if isinstance(s, Running) else F.col(f"_c_{n}")
+        for n, s in specs.items()
+    }
+    return joined, values
 
 
 def number_rows(
@@ -139,10 +181,11 @@ def number_rows(
     name: str = "idx",
     ties: tuple[str, ...] = (),
     attach: DataFrame | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Zero-based index of each row within its document."""
     index = Running("count", F.lit(True), inclusive=False)
-    return scan(df, key, pos, {name: index}, ties, attach=attach)
+    return scan(df, key, pos, {name: index}, ties, attach=attach, longest=longest)
 
 
 def rank_all(df: DataFrame, *order: Column | str, partitions: int | None = None) -> DataFrame:

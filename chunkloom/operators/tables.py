@@ -8,7 +8,7 @@ from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.tokens import Counter, word_count
@@ -251,19 +251,15 @@ def split_table_rows(table: Column, limit: int = 8100, counter: Counter = word_c
     return run(table)
 
 
-def tables_in_chunks(chunks: DataFrame, limit: int = 8100, counter: Counter = word_count) -> DataFrame:
-    """Replace ``text`` by the tables in it, one row each (``sub`` counts them), all below ``limit``.
-
-    Only the rows of the input go through Python; callers filter first.
-    """
+def tables_of(text: Column, limit: int = 8100, counter: Counter = word_count) -> Column:
+    """Array with the tables of a chunk, each below ``limit`` tokens; null text gives null."""
     count = counter.text
 
     @F.pandas_udf("array<string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield texts.map(lambda t: [p for h in find_tables(t) for p in cut_to_size(h, limit, count)])
+            yield texts.map(
+                lambda t: None if t is None else [p for h in find_tables(t) for p in cut_to_size(h, limit, count)]
+            )
 
-    # With markup looked for in the JVM first, chunks without any table never reach Python.
-    with_markup = chunks.filter(F.lower("text").contains("<table"))
-    others = [c for c in chunks.columns if c not in ("text", "sub")]
-    return with_markup.select(*others, F.posexplode(run(F.col("text"))).alias("sub", "text"))
+    return run(text)

@@ -13,7 +13,7 @@ from ..functions import text as tx
 from ..functions.tokens import Counter, truncate_words, word_count
 from ..operators import enrich
 from ..operators.filters import blank_to_null_dropna, drop_last_chunk
-from ..operators.merging import HIGH, LOW, assign_chunk_ids, merge_small_chunks
+from ..operators.merging import HIGH, LOW, chunk_id, merge_small_chunks
 from ..sinks import records
 
 
@@ -116,15 +116,6 @@ DOMAINS = {
 }
 
 
-def merged_chunks(
-    domain: Domain, chunks: DataFrame, lo: int = LOW, hi: int = HIGH, counter: Counter = word_count
-) -> DataFrame:
-    if domain.skip_last_chunk:
-        chunks = drop_last_chunk(chunks)
-    merged = merge_small_chunks(chunks, lo, hi, counter)
-    return merged.withColumn("text", tx.fix_utf8(F.col("text")))
-
-
 def indexable_chunks(
     name: str,
     chunks: DataFrame,
@@ -132,16 +123,29 @@ def indexable_chunks(
     lo: int = LOW,
     hi: int = HIGH,
     counter: Counter = word_count,
+    longest: int | None = None,
 ) -> DataFrame:
-    """Merged, cleaned and numbered chunks with the published metadata fields."""
+    """Merged, cleaned and numbered chunks with the published metadata fields.
+
+    Scan, numbering and metadata join share one shuffle of the chunks when ``longest`` shows that no
+    document is cut into blocks.
+    """
     domain = DOMAINS[name]
+    if domain.skip_last_chunk:
+        chunks = drop_last_chunk(chunks, longest)
     details = meta.select(
         "doc_id",
         *[make().alias(f) for f, make in domain.meta.items()],
         *[make().alias(f"_vector_{f}") for f, make in domain.vector_meta.items()],
     )
-    numbered = assign_chunk_ids(merged_chunks(domain, chunks, lo, hi, counter), meta=details)
-    return numbered.withColumn(domain.id_field, F.col("doc_id").cast("string"))
+    merged = merge_small_chunks(chunks, lo, hi, counter, meta=details, longest=longest)
+    return merged.withColumns(
+        {
+            "text": tx.fix_utf8(F.col("text")),
+            "chunk_id": chunk_id(),
+            domain.id_field: F.col("doc_id").cast("string"),
+        }
+    )
 
 
 def build_index(
@@ -155,6 +159,7 @@ def build_index(
     hi: int = HIGH,
     counter: Counter = word_count,
     slice_entries: int = 500,
+    longest: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Full-text actions, vector records and failed chunks of one kind of source.
 
@@ -162,7 +167,7 @@ def build_index(
     on them asks the service again.
     """
     domain = DOMAINS[name]
-    ready = indexable_chunks(name, chunks, meta, lo, hi, counter)
+    ready = indexable_chunks(name, chunks, meta, lo, hi, counter, longest)
     fulltext = records.fulltext_actions(ready, domain.index, domain.fields, slice_entries=slice_entries)
     if make_client is None:
         return fulltext, None, None

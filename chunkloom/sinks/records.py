@@ -68,9 +68,9 @@ def text_objects(chunks: DataFrame, source: Column, with_page: bool = False) ->
     return chunks.select("title", "content", source.alias("source"), *page)
 
 
-def flat_vector_rows(chunks: DataFrame) -> DataFrame:
+def flat_vector_rows(chunks: DataFrame, longest: int | None = None) -> DataFrame:
     """``report_id, sort_number, vector, text`` numbered from zero per document."""
-    numbered = number_rows(chunks, "doc_id", "pos", "sort_number")
+    numbered = number_rows(chunks, "doc_id", "pos", "sort_number", longest=longest)
     return numbered.select(
         F.col("doc_id").alias("report_id"), "sort_number", F.col("embedding").alias("vector"), "text"
     )

@@ -44,38 +44,45 @@ class _Page(HTMLParser):
 
     def _flush(self) -> None:
         text = re.sub(r"\s+", " ", "".join(self.words)).strip()
-        if text:
+        if text or self.kind == "Table":
             self.found.append((self.kind, text))
         self.words = []
 
-    def _kind(self) -> str:
+    def _name_kind(self) -> None:
         named = [CATEGORY[t] for t in self.open if t in CATEGORY]
-        for outer in ("Table", "Header", "Footer"):
-            if outer in named:
-                return outer
-        return named[-1] if named else "Text"
-
-    def handle_starttag(self, tag, attrs):
-        if tag in CATEGORY or tag in BLOCKS or tag in SKIPPED:
-            if "table" not in self.open:
-                self._flush()
-            # A new block of the same family ends one that was left open.
-            if tag in ("p", "li") and tag in self.open:
-                self._close(tag)
-            if tag != "br":
-                self.open.append(tag)
-            self.kind = self._kind()
+        framed = [k for k in ("Table", "Header", "Footer") if k in named]
+        self.kind = framed[0] if framed else named[-1] if named else "Text"
 
     def _close(self, tag) -> None:
         at = len(self.open) - 1 - self.open[::-1].index(tag)
         del self.open[at:]
 
+    def handle_starttag(self, tag, attrs):
+        if tag not in CATEGORY and tag not in BLOCKS and tag not in SKIPPED:
+            return
+        if "table" in self.open:
+            # Everything inside a table is one text; only the depth of nested tables is kept.
+            if tag == "table":
+                self.open.append(tag)
+            return
+        self._flush()
+        if tag == "br":
+            return
+        # A block ends a paragraph that was left open, and a list item the one before it.
+        if "p" in self.open:
+            self._close("p")
+        if tag == "li" and [t for t in self.open if t in ("li", "ul", "ol")][-1:] == ["li"]:
+            self._close("li")
+        self.open.append(tag)
+        self._name_kind()
+
     def handle_endtag(self, tag):
-        if tag in self.open:
-            if "table" not in self.open or tag == "table":
-                self._flush()
-            self._close(tag)
-            self.kind = self._kind()
+        if tag not in self.open or ("table" in self.open and tag != "table"):
+            return
+        if self.open.count("table") < 2:
+            self._flush()
+        self._close(tag)
+        self._name_kind()
 
     def handle_data(self, data):
         if not SKIPPED.intersection(self.open):
@@ -86,12 +93,20 @@ class _Page(HTMLParser):
         self._flush()
 
 
+def _outer_tables(html: str) -> Iterator[str]:
+    found, at = find_tables(html), 0
+    while at < len(found):
+        yield found[at]
+        at += found[at].count("<table")  # itself and the tables nested in it
+
+
 def page_elements(html: str) -> list[tuple[str, str, str | None]]:
     page = _Page()
     page.feed(html)
     page.close()
-    tables = iter(find_tables(html)) if any(k == "Table" for k, _ in page.found) else iter(())
-    return [(kind, text, next(tables, None) if kind == "Table" else None) for kind, text in page.found]
+    tables = _outer_tables(html) if any(kind == "Table" for kind, _ in page.found) else iter(())
+    paired = [(kind, text, next(tables, None) if kind == "Table" else None) for kind, text in page.found]
+    return [element for element in paired if element[1]]
 
 
 def html_to_elements(pages: DataFrame, key: str = "doc_id", content: str = "html") -> DataFrame:
