@@ -259,7 +259,24 @@ def prescreen(spark, sf):
     )
 
 
-@query()
+# Markup of the given pages: block tags become marks, the rest goes, the last block opened names the text.
+@query(
+    """WITH k AS (SELECT page_id AS doc_id, regexp_replace(regexp_replace(html, '(?is)<head\\b.*?</head>', '', 'g'),
+    '(?s)<!.*?>', '', 'g') AS h FROM pages),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(h, '(?i)<(/?(nav|ul|li|div|article|h1|p|br|footer|body|html))\\b[^>]*>',
+    chr(1) || '\\1' || chr(2), 'g'), '<[^>]*>', '', 'g') AS h FROM k),
+s AS (SELECT doc_id, unnest(string_split(h, chr(1))) AS piece, generate_subscripts(string_split(h, chr(1)), 1) AS i FROM b),
+t AS (SELECT doc_id, i, string_split(piece, chr(2))[1] AS tag,
+    trim(regexp_replace(string_split(piece, chr(2))[2], '\\s+', ' ', 'g')) AS raw FROM s WHERE i > 1),
+c AS (SELECT *, last_value(CASE WHEN tag NOT LIKE '/%' AND tag <> 'br' THEN tag END IGNORE NULLS) OVER
+    (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block FROM t)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos,
+  CASE block WHEN 'li' THEN 'Header' WHEN 'h1' THEN 'Title' WHEN 'p' THEN 'NarrativeText' WHEN 'footer' THEN 'Footer'
+    ELSE 'Text' END AS category,
+  replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text,
+  CAST(1 AS INTEGER) AS page_number, NULL::VARCHAR AS html
+FROM c WHERE raw <> ''"""
+)
 def html_to_elements(spark, sf):
     pages = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "html")
     return to_elements(pages)

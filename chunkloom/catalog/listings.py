@@ -140,12 +140,13 @@ def list_artifacts(spark, sf):
 
 @query(f"WITH {CHUNKS} SELECT doc_id, pos, title, text, page_number FROM c")
 def read_chunks(spark, sf):
-    """Chunk lists written per document and read back in order."""
+    """Chunk lists written per document, in parts of bounded length, and read back in order."""
     folder = _new_folder(spark)
     chunks = conversation_chunks(spark, sf)
     items = F.sort_array(F.collect_list(F.struct("pos", "title", "text", "page_number")))
     lists = F.transform(items, lambda c: F.struct(c["title"].alias("title"), c["text"].alias("text"), c["page_number"].alias("page_number")))
-    chunks.groupBy("doc_id").agg(lists.alias("chunks")).write.parquet(folder)
+    parts = chunks.groupBy("doc_id", F.expr("pos div 1000").alias("part"))
+    parts.agg(lists.alias("chunks"), F.min("pos").alias("first_pos")).write.parquet(folder)
     return readers.read_chunks(spark, folder, "titled")
 
 

@@ -403,7 +403,8 @@ def split_table_rows(spark, sf):
     html = F.concat(F.lit("<table>"), F.array_join(cells, ""), F.lit("</table>"))
     docs = table(spark, sf, "documents").select("doc_id", html.alias("html"))
     parts = docs.select("doc_id", tables.split_table_rows(F.col("html"), LIMIT).alias("parts"))
-    return parts.select("doc_id", F.posexplode("parts").alias("sub", "text"))
+    # The outer form keeps the optimizer from running the split once more to test for empty arrays.
+    return parts.select("doc_id", F.posexplode_outer("parts").alias("sub", "text")).filter("text is not null")
 
 
 @query(
@@ -421,7 +422,7 @@ def extract_tables(spark, sf):
     )
     chunks = conversation_chunks(spark, sf).select("doc_id", "pos", text.alias("text"))
     found = chunks.select("doc_id", "pos", tables.extract_tables(F.col("text")).alias("found"))
-    return found.select("doc_id", "pos", F.posexplode("found").alias("sub", "text"))
+    return found.select("doc_id", "pos", F.posexplode_outer("found").alias("sub", "text")).filter("text is not null")
 
 
 def _conversation_domain(name, spark, sf):

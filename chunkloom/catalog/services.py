@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich, merging
+from ..plans import domains
+from ..sinks import records
 from .registry import CHUNKS, conversation_chunks, query, table
 
 
@@ -128,3 +130,22 @@ def _editor():
 def reformat_text(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return enrich.reformat_text(docs, _editor, batch=20).select("doc_id", "text")
+
+
+@query(
+    f"""WITH {CHUNKS}, l AS (SELECT doc_id, pos, '{{"page_number": ' || page_number || ', "text": ' || to_json(text) || '}}'
+    || chr(10) AS line FROM c WHERE title <> 'system'),
+f AS (SELECT doc_id, string_agg(line, '' ORDER BY pos) AS content, count(*) AS chunk_count FROM l GROUP BY doc_id)
+SELECT doc_id, 'chunks_jsonl' AS role, 'u' || doc_id || '.jsonl' AS name, strlen(content) AS size,
+  sha256(content) AS sha256, chunk_count, lang FROM f JOIN documents USING (doc_id)"""
+)
+def domain_knowledge_base(spark, sf):
+    """Artefacts and manifests of parsed documents; the turns of the system are blank."""
+    text = F.when(F.col("title") != "system", F.col("text"))
+    chunks = conversation_chunks(spark, sf).select("doc_id", "pos", text.alias("text"), "page_number")
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("artifact_uuid"), "lang"
+    )
+    _, _, manifests, _ = domains.build_knowledge_base(chunks, docs, _shape_embedder, dims=3)
+    entries = records.manifest_entries(manifests)
+    return entries.join(manifests.select("doc_id", "chunk_count", "lang"), "doc_id")

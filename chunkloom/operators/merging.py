@@ -36,7 +36,8 @@ def merge_small_chunks(
     forms a last chunk labelled like the last row of the document.
     """
     n_tokens = F.col("n_tokens") if "n_tokens" in chunks.columns else counter(F.col("text"))
-    sized = chunks.select("doc_id", "pos", "text", label, n_tokens.alias("_n"))
+    sized = chunks.withColumn("text", F.coalesce("text", F.lit("")))
+    sized = sized.select("doc_id", "pos", "text", label, n_tokens.alias("_n"))
     sized = sized.withColumns(
         {"_big": F.col("_n") > hi, "_mid": (F.col("_n") >= lo) & (F.col("_n") <= hi)}
     )
@@ -74,9 +75,10 @@ def merge_small_chunks(
         "doc_id", "pos", label, "_big", "_mid", "_at", "_n_grp", "_n_tab", "_last_pos", "_last_label",
         F.when(~F.col("_big"), F.col("_grp")).alias("_grp"),
         F.when(F.col("_big"), F.col("pos")).alias("_own"),
-        F.posexplode(items).alias("sub", "_piece"),
+        # The outer form keeps the optimizer from evaluating the tables once more to test for none.
+        F.posexplode_outer(items).alias("sub", "_piece"),
         *details,
-    )
+    ).filter("_piece is not null")
     # Metadata columns depend on the document, as grouping columns they cost no aggregate.
     closing = F.col("_mid") | F.col("_big")
     merged = pieces.groupBy("doc_id", "_grp", "_own", "sub", *details).agg(

@@ -147,10 +147,8 @@ def _spread(rows: list[list[list]]) -> list[list[str]]:
     return out
 
 
-def table_frame(html: str) -> pd.DataFrame:
-    """First table of the markup as a frame, typed the way pandas types text tables."""
-    from pandas.io.parsers import TextParser
-
+def table_lines(html: str) -> tuple[list[list[str]], int]:
+    """Cells of the first table, all rows equally long, and how many rows at the top are its header."""
     reader = _RowReader()
     reader.feed(html)
     reader.close()
@@ -162,54 +160,87 @@ def table_frame(html: str) -> pd.DataFrame:
             head.append(body.pop(0))
     lines = _spread(head) + _spread(body + foot)
     width = max((len(line) for line in lines), default=0)
-    lines = [line + [""] * (width - len(line)) for line in lines]
+    return [line + [""] * (width - len(line)) for line in lines], len(head)
+
+
+def table_frame(lines: list[list[str]], n_head: int) -> pd.DataFrame:
+    """The table as a frame, typed the way pandas types text tables."""
+    from pandas.io.parsers import TextParser
+
     header = None
-    if len(head) == 1:
+    if n_head == 1:
         header = 0
-    elif head:
-        header = [i for i, line in enumerate(lines[: len(head)]) if any(line)]
+    elif n_head:
+        header = [i for i, line in enumerate(lines[:n_head]) if any(line)]
     with TextParser(lines, header=header, thousands=",") as parser:
         return parser.read()
 
 
+# Cells that are read as missing.
+MISSING = {
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+}
+_GROUPED_NUMBER = re.compile(r"[-\d.]*,[-\d,.]*")
+
+
+def _is_word(cell: str) -> bool:
+    try:
+        float(cell)
+    except ValueError:
+        return cell.lower() not in ("true", "false")
+    return False
+
+
+def _plain_columns(lines: list[list[str]], n_head: int) -> list[str] | None:
+    """Column names when every cell would stay the text it is, otherwise nothing."""
+    body = lines[n_head:]
+    if n_head > 1 or not body or not body[0]:
+        return None
+    if any(c in MISSING or _GROUPED_NUMBER.fullmatch(c) for line in body for c in line):
+        return None
+    if not all(any(_is_word(line[k]) for line in body) for k in range(len(body[0]))):
+        return None
+    names = lines[0] if n_head else [str(k) for k in range(len(body[0]))]
+    return names if len(set(names)) == len(names) and all(names) else None
+
+
 def _frame_html(frame: pd.DataFrame) -> str:
     return frame.to_html(index=False, border=0, classes=None)
 
 
-def _frame_writer(frame: pd.DataFrame):
-    """Function from row numbers to the html of these rows.
+def _cell(tag: str, text: str) -> str:
+    shown = text.replace("\t", r"\t").replace("\r", r"\r").replace("\n", r"\n")
+    return f"      <{tag}>{escape(shown, quote=False).strip()}</{tag}>\n"
+
 
-    Frames of plain text, by far the most common, are written directly; writing them through pandas
-    costs milliseconds per row. Rows of other frames are rebuilt one by one, so that they lose their
-    common type the way a row-wise copy does.
+def _table_writer(html: str):
+    """Number of rows of a table, and a function from row numbers to the html of these rows.
+
+    Tables of plain text, by far the most common, are written directly; going through pandas costs
+    milliseconds per row. Rows of other tables are rebuilt one by one, so that they lose their common
+    type the way a row-wise copy does.
     """
-    is_text = frame.columns.nlevels == 1 and all(
-        frame[c].map(lambda v: isinstance(v, str)).all() for c in frame.columns
-    )
-    if not is_text or not frame.columns.is_unique:
-        return lambda rows: _frame_html(pd.concat([frame.iloc[i].to_frame().T for i in rows]))
-
-    def cell(tag: str, value) -> str:
-        text = str(value)
-        for raw, shown in (("\t", r"\t"), ("\r", r"\r"), ("\n", r"\n")):
-            text = text.replace(raw, shown)
-        return f"      <{tag}>{escape(text, quote=False).strip()}</{tag}>\n"
-
-    head = "".join(cell("th", c) for c in frame.columns)
-    lines = ["    <tr>\n" + "".join(cell("td", v) for v in row) + "    </tr>\n" for row in frame.to_numpy()]
-    before = f'<table class="dataframe">\n  <thead>\n    <tr style="text-align: right;">\n{head}    </tr>\n'
-    return lambda rows: (
-        before + "  </thead>\n  <tbody>\n" + "".join(lines[i] for i in rows) + "  </tbody>\n</table>"
+    lines, n_head = table_lines(html)
+    names = _plain_columns(lines, n_head)
+    if names is None:
+        frame = table_frame(lines, n_head)
+        return len(frame), lambda rows: _frame_html(pd.concat([frame.iloc[i].to_frame().T for i in rows]))
+    head = "".join(_cell("th", n) for n in names)
+    written = ["    <tr>\n" + "".join(_cell("td", c) for c in row) + "    </tr>\n" for row in lines[n_head:]]
+    before = (
+        f'<table class="dataframe">\n  <thead>\n    <tr style="text-align: right;">\n{head}    </tr>\n'
+        "  </thead>\n  <tbody>\n"
     )
+    return len(written), lambda rows: before + "".join(written[i] for i in rows) + "  </tbody>\n</table>"
 
 
 def split_table(html: str, limit: int, count) -> list[str]:
     """Greedy row groups of at most ``limit`` tokens; each row is measured as a table of its own."""
-    frame = table_frame(html)
-    write = _frame_writer(frame)
+    n_rows, write = _table_writer(html)
     groups: list[list[int]] = []
     used = 0
-    for i in range(len(frame)):
+    for i in range(n_rows):
         size = count(write([i]))
         if not groups or used + size > limit:
             groups.append([])
@@ -224,7 +255,7 @@ def cut_to_size(html: str, limit: int, count) -> list[str]:
         return [html] if html else []
     try:
         return split_table(html, limit, count)
-    except (ValueError, IndexError, pd.errors.ParserError):
+    except (ValueError, IndexError):
         return []
 
 

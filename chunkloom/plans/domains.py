@@ -12,8 +12,9 @@ from ..functions import dates
 from ..functions import text as tx
 from ..functions.tokens import Counter, truncate_words, word_count
 from ..operators import enrich
-from ..operators.filters import blank_to_null_dropna, drop_last_chunk
+from ..operators.filters import blank_to_null_dropna, drop_empty_chunks, drop_last_chunk
 from ..operators.merging import HIGH, LOW, chunk_id, merge_small_chunks
+from ..operators.segments import concat_ordered
 from ..sinks import records
 
 
@@ -111,8 +112,6 @@ DOMAINS = {
         {"title": _col("title"), "tag": _col("tag")},
         skip_last_chunk=True,
     ),
-    # Chunks that carry their own vector; readiness is tracked by manifest, not by a metadata join.
-    "knowledge_base": Domain("knowledge_base", "knowledge_base", {"title": _col("title")}, with_page=True),
 }
 
 
@@ -202,3 +201,52 @@ def build_patent_index(
     asked = patent_rows(patents).withColumn("text", F.col("abstract"))
     embedded = enrich.embed_chunks(asked, make_client, dims, batch, attempts=10, wait=3.0)
     return fulltext, records.vector_records(embedded, "patent", PATENT_FIELDS, "publication_number")
+
+
+def build_knowledge_base(
+    chunks: DataFrame,
+    docs: DataFrame,
+    make_client: Callable,
+    dims: int = 1536,
+    batch: int = 32,
+    parser_profile: str = "default",
+    parser_version: str = "1",
+    model: str = "default",
+    part_chunks: int = 10_000,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Artefacts of parsed documents: file parts, manifest entries, manifests and failed chunks.
+
+    ``docs``: doc_id, artifact_uuid and the fields the manifest shows. Blank chunks are dropped, the
+    others embedded and written as JSON lines without their vectors. A file holds the lines of
+    ``part_chunks`` positions, so no document has to fit one task; documents that are not longer have
+    one file, named after the artefact.
+    """
+    kept = drop_empty_chunks(chunks)
+    embedded = enrich.embed_chunks(kept, make_client, dims, batch)
+    errors = embedded.filter(F.col("error").isNotNull()).select("doc_id", "pos", "error")
+    lines = records.chunk_jsonl(embedded.drop("error"))
+    lines = lines.withColumns(
+        {"line": F.concat("line", F.lit("\n")), "part": F.expr(f"pos div {part_chunks}")}
+    )
+    files = lines.groupBy("doc_id", "part").agg(
+        concat_ordered("line", ["pos"]).alias("content"), F.count("*").alias("n_lines")
+    )
+    named = files.join(docs.select("doc_id", "artifact_uuid"), "doc_id")
+    suffix = F.when(F.col("part") == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.col("part").cast("string")))
+    named = named.select(
+        "doc_id",
+        "part",
+        F.concat(F.lit("chunks_jsonl"), suffix).alias("role"),
+        F.concat("artifact_uuid", suffix, F.lit(".jsonl")).alias("name"),
+        F.octet_length("content").cast("long").alias("size"),
+        F.sha2("content", 256).alias("sha256"),
+        "n_lines",
+        "content",
+    )
+    entries = named.select("doc_id", "role", "name", "size", "sha256", "n_lines")
+    counts = chunks.groupBy("doc_id").agg(F.count_if(~tx.is_blank(F.col("text"))).alias("chunk_count"))
+    embedding = {"model": model, "dimensions": dims}
+    manifests = records.build_manifest(
+        entries, docs.join(counts, "doc_id"), parser_profile, parser_version, embedding
+    )
+    return named.select("doc_id", "part", "name", "content"), entries, manifests, errors

@@ -51,10 +51,15 @@ CHUNK_SHAPES = {
 
 
 def explode_chunks(docs: DataFrame, shape: str = "record", column: str = "chunks") -> DataFrame:
-    """One row ``doc_id, pos, title, text, page_number`` per chunk of a document's chunk list."""
+    """One row ``doc_id, pos, title, text, page_number`` per chunk of a document's chunk list.
+
+    A long document may be stored as several lists; ``first_pos`` then says where each one starts.
+    """
     if shape not in CHUNK_SHAPES:
         raise ValueError(f"unknown chunk shape: {shape}")
-    rows = docs.select("doc_id", F.posexplode(column).alias("pos", "_c"))
+    start = F.col("first_pos") if "first_pos" in docs.columns else F.lit(0)
+    rows = docs.select("doc_id", start.alias("_start"), F.posexplode(column).alias("_i", "_c"))
+    rows = rows.withColumn("pos", F.col("_start") + F.col("_i"))
     null = F.lit(None)
     title = F.col("_c.title") if shape == "titled" else null.cast("string")
     text = F.col("_c") if shape == "text" else F.col("_c.text")

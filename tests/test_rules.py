@@ -1,6 +1,7 @@
 """Small truth tables: filters, scalar functions, checks, services, states and writers."""
 
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -127,7 +128,7 @@ def test_find_tables():
 
 def row_by_row(html, limit):
     """Independent split: every row and part is written by pandas from the parsed frame."""
-    frame = tables.table_frame(html)
+    frame = tables.table_frame(*tables.table_lines(html))
     parts, part, used = [], pd.DataFrame(), 0
     for _, row in frame.iterrows():
         one = row.to_frame().T
@@ -145,10 +146,21 @@ def test_split_table():
     typed = f"<table>{head}" + "".join(f"<tr><td>row &amp; {i}</td><td>{i}.50</td></tr>" for i in range(9)) + "</table>"
     text = "<table>" + "".join(f"<tr><td>r {i}</td><td>a\tb &lt; {i}</td></tr>" for i in range(9)) + "</table>"
     spans = '<table><tr><th>a</th><th>b</th></tr><tr><td rowspan="2">x</td><td>1,000</td></tr><tr><td></td></tr></table>'
-    for html in (typed, text, spans):
+    rng = random.Random(5)
+    cells = ["word", "two words", "1,234", "5", "1e5", "True", "nan", "", "a,b", "x" * 60, "&amp;", "-", "N/A", "inf"]
+    mixed = [
+        "<table>" + "".join("<tr>" + "".join(f"<td>{rng.choice(cells)}</td>" for _ in range(2)) + "</tr>" for _ in range(5)) + "</table>"
+        for _ in range(150)
+    ]
+    mixed += [
+        f"<table><tr><th>{rng.choice(cells)}</th><th>{rng.choice(cells)}</th></tr>"
+        + "".join(f"<tr><td>{rng.choice(cells)}</td><td>w {rng.choice(cells)}</td></tr>" for _ in range(3)) + "</table>"
+        for _ in range(50)
+    ]
+    for html in (typed, text, spans, *mixed):
         for limit in (1, 60, 150, 10_000):
             assert tables.split_table(html, limit, word_count.text) == row_by_row(html, limit)
-    frame = tables.table_frame(spans)
+    frame = tables.table_frame(*tables.table_lines(spans))
     assert list(frame.columns) == ["a", "b"] and list(frame["a"]) == ["x", "x"] and frame["b"][0] == 1000
     assert tables.cut_to_size("<table></table>", 0, word_count.text) == []
 
@@ -289,7 +301,7 @@ def test_index_schema(spark):
     rows = spark.createDataFrame([("1", "t", "d", "j", 5, "extra")], "id string, text string, doi string, journal string, date int, x string")
     shaped = records.index_rows(rows, "sci")
     assert shaped.columns == ["id", "text", "doi", "journal", "date"] and dict(shaped.dtypes)["date"] == "bigint"
-    assert set(schemas.INDEXES) >= {d.index for d in domains.DOMAINS.values()} - {"knowledge_base"}
+    assert set(schemas.INDEXES) >= {d.index for d in domains.DOMAINS.values()}
 
 
 def test_domain_vectors(spark):
