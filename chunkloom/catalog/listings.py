@@ -214,7 +214,7 @@ def clear_namespace(spark, sf):
     return left.select(F.col("id").cast("string").alias("id"), F.substring("namespace", 2, 20).alias("namespace"))
 
 
-@query("SELECT CAST(vec_id AS VARCHAR) AS id, label, round(embedding[1], 5) AS first_value, 'all' AS namespace FROM embeddings")
+@query("SELECT CAST(vec_id AS VARCHAR) AS id, label, round(CAST(embedding[1] AS DOUBLE), 5) AS first_value, 'all' AS namespace FROM embeddings")
 def vector_records(spark, sf):
     chunks = table(spark, sf, "embeddings").withColumn("chunk_id", F.col("vec_id").cast("string"))
     found = records.vector_records(chunks, "all", ["label"])

@@ -250,7 +250,7 @@ def render_text(spark, sf):
 
 @query(
     f"""WITH {CHUNKS} SELECT doc_id, string_agg('Page ' || page_number || ':' || chr(10) || title || chr(10) || text,
-  chr(10) || '----------' || chr(10) ORDER BY pos) AS text, 0 AS part FROM c GROUP BY doc_id"""
+  chr(10) || '----------' || chr(10) ORDER BY pos) AS text, CAST(0 AS BIGINT) AS part FROM c GROUP BY doc_id"""
 )
 def render_text_titled(spark, sf):
     chunks = conversation_chunks(spark, sf).withColumn("content", F.col("text"))
@@ -271,7 +271,7 @@ def chunk_jsonl(spark, sf):
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS idx FROM m)
 SELECT 'chunks' AS "index", doc_id || '_' || idx AS id, idx // 2 AS bulk,
   '{{"index":{{"_index":"chunks","_id":"' || doc_id || '_' || idx || '"}}}}' AS action,
-  to_json({{'text': text, 'rec_id': CAST(doc_id AS VARCHAR), 'page_number': page_number}}) AS source FROM k"""
+  CAST(to_json({{'text': text, 'rec_id': CAST(doc_id AS VARCHAR), 'page_number': page_number}}) AS VARCHAR) AS source FROM k"""
 )
 def fulltext_actions(spark, sf):
     merged = merging.merge_small_chunks(conversation_chunks(spark, sf), LO, HI, tables=False)
@@ -464,7 +464,7 @@ def _domain_sql(index, fields, id_field="rec_id", source="c", extra=""):
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS idx FROM m)
 SELECT '{index}' AS "index", k.doc_id || '_' || idx AS id, idx // 250 AS bulk,
   '{{"index":{{"_index":"{index}","_id":"' || k.doc_id || '_' || idx || '"}}}}' AS action,
-  to_json({{{pairs}}}) AS source
+  CAST(to_json({{{pairs}}}) AS VARCHAR) AS source
 FROM k JOIN documents d USING (doc_id)"""
 
 

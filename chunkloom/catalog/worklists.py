@@ -260,8 +260,8 @@ def blank_to_null_dropna(spark, sf):
 @query(
     """SELECT 'patents' AS "index", CAST(p_partkey AS VARCHAR) AS id,
   '{"index":{"_index":"patents","_id":"' || p_partkey || '"}}' AS action, NULL::BIGINT AS bulk,
-  to_json({'abstract': p_type, 'title': p_name, 'url': p_brand, 'country': 'CN', 'publication_date': 19000000 + p_size})
-    AS source FROM part WHERE p_size >= 10"""
+  CAST(to_json({'abstract': p_type, 'title': p_name, 'url': p_brand, 'country': 'CN', 'publication_date': 19000000 + p_size})
+    AS VARCHAR) AS source FROM part WHERE p_size >= 10"""
 )
 def domain_patents(spark, sf):
     patents = table(spark, sf, "part").select(
@@ -285,7 +285,7 @@ FROM embeddings ORDER BY similarity DESC, vec_id LIMIT 10"""
 def top_k_similar(spark, sf):
     """Nearest neighbours of the first vector of the table."""
     embeddings = table(spark, sf, "embeddings")
-    question = embeddings.orderBy("vec_id").limit(1).select("embedding").scalar()
+    question = embeddings.orderBy("vec_id").select("embedding").first()[0]
     found = vectors.top_k_similar(embeddings, question, 10)
     return found.select("vec_id", F.round("similarity", 6).alias("similarity"))
 

@@ -71,16 +71,6 @@ def l2_error(vector: Column, dims: int) -> Column:
     )
 
 
-def cosine(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    dot = F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
-
-    def norm(v: Column) -> Column:
-        return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-
-    return F.try_divide(dot, norm(a) * norm(b))
-
-
 def chunk_text(item: Column) -> Column:
     """``struct(text, error)`` of a chunk held as JSON text."""
     parsed = F.try_parse_json(item)

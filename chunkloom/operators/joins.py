@@ -99,7 +99,10 @@ def rename_plan(listing: DataFrame, id_map: DataFrame, suffix: str = "") -> Data
 
 
 # Keys up to this many bytes are sent to every task; larger key sets are joined instead.
-MAX_KEY_BYTES = 32 * 1024 * 1024
+MAX_KEY_BYTES = 4 * 1024 * 1024
+# Texts are cut into overlapping pieces of this many characters before their grams are taken, since
+# finding a position in a string takes time in proportion to the position.
+PIECE = 512
 
 
 def semi_by_substring(
@@ -159,12 +162,17 @@ def _match_joined_keys(items: DataFrame, words: DataFrame, item_id: str, text: s
     )
     # At most `gram` different sizes exist, so this list is short.
     sizes = [r[0] for r in anchors.select("_size").distinct().collect()]
-    body = F.col(text)
+    body, piece = F.col(text), F.col("_piece")
+    starts = F.sequence(F.lit(0), F.floor(F.length(body) / PIECE))
+    pieces = items.select(
+        item_id,
+        F.explode(F.transform(starts, lambda s: F.substring(body, s * PIECE + 1, F.lit(PIECE + gram - 1)))).alias("_piece"),
+    )
     held = [
-        F.when(F.length(body) >= s, grams(body, F.lit(s))).otherwise(F.array().cast("array<bigint>"))
+        F.when(F.length(piece) >= s, grams(piece, F.lit(s))).otherwise(F.array().cast("array<bigint>"))
         for s in sorted(sizes)
     ]
-    probes = items.select(item_id, F.explode(F.concat(*held)).alias("_gram"))
+    probes = pieces.select(item_id, F.explode(F.concat(*held)).alias("_gram"))
     candidates = probes.join(anchors.select("_gram", "_key"), "_gram").select(item_id, "_key").distinct()
     hits = (
         candidates.join(items.select(item_id, body.alias("_body")), item_id)

@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import cosine
 
+def cosine_to(vector: Column, query: list[float]) -> Column:
+    """Cosine with one fixed vector, a whole Arrow batch per matrix product.
 
-def top_k_similar(vectors: DataFrame, query: Column, k: int, key: str = "vec_id") -> DataFrame:
-    """The ``k`` vectors nearest to one query vector by cosine.
-
-    ``query`` is a constant or a scalar subquery, so this is one scan with a bounded heap per task.
+    Null for vectors that are null, of another length or all zero.
     """
-    asked = vectors.withColumn("_query", query)
-    scored = asked.withColumn("similarity", cosine(F.col("embedding"), F.col("_query"))).drop("_query")
-    return scored.orderBy(F.desc("similarity"), key).limit(k)
+    wanted = np.asarray(query, dtype="float64")
+    size = float(np.sqrt(wanted @ wanted))
+
+    @F.arrow_udf("double")
+    def run(vectors: pa.Array) -> pa.Array:
+        lengths = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+        usable = lengths == len(wanted)
+        rows = vectors.filter(pa.array(usable)).flatten().to_numpy(zero_copy_only=False)
+        matrix = rows.astype("float64").reshape(-1, len(wanted))
+        norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix)) * size
+        out = np.full(len(lengths), np.nan)
+        out[usable] = np.divide(matrix @ wanted, norms, out=np.full(len(norms), np.nan), where=norms > 0)
+        return pa.array(out, mask=np.isnan(out))
+
+    return run(vector)
+
+
+def top_k_similar(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id") -> DataFrame:
+    """The ``k`` vectors nearest to a question's vector: one scan with a bounded heap per task."""
+    scored = vectors.withColumn("similarity", cosine_to(F.col("embedding"), query))
+    return scored.orderBy(F.desc_nulls_last("similarity"), key).limit(k)

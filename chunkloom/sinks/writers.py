@@ -101,10 +101,12 @@ def write_result_json(rows: DataFrame, path: str, name: str = "process_name") ->
     rows.select(name, body).write.mode("overwrite").partitionBy(name).text(path)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str) -> None:
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str, path: str | None = None) -> None:
+    """Create a table of the registry when there is none; with ``path`` its files live there."""
     wanted = TABLES[schema] if isinstance(schema, str) else schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
 def write_report_table(df: DataFrame, path: str) -> None:

@@ -119,8 +119,8 @@ def rows_of_results(files: DataFrame) -> DataFrame:
     as_list = F.when(F.ltrim(result).startswith("["), result).otherwise(F.concat(F.lit("["), result, F.lit("]")))
     variants = F.try_variant_get(F.try_parse_json(as_list), "$", "array<variant>")
     rows = files.select(paths.file_id(paths.base_name(F.col("path"))).alias("filename_prefix"),
-                        F.explode(variants).alias("_row"))
-    return rows.select("filename_prefix", F.to_json("_row").alias("row")).filter("row != '{}'")
+                        F.explode_outer(variants).alias("_row"))
+    return rows.select("filename_prefix", F.to_json("_row").alias("row")).filter("row not in ('{}', 'null')")
 
 
 def read_result_json(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,6 @@ Usage: python tests/compare.py [scale folder] [query ...]
 from __future__ import annotations
 
 import math
-import os
 import sys
 import time
 from pathlib import Path
@@ -79,8 +78,9 @@ def main() -> int:
                 types = dict(df.dtypes)
                 sqlt = {d[0]: str(d[1]) for d in found.description}
                 note = f"{len(rows)} rows"
-                if os.environ.get("SHOW_TYPES"):
-                    note += f" {types} {sqlt}"
+                same = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+                odd = {c: (t, sqlt[c]) for c, t in types.items() if same.get(t) != sqlt[c]} if not problem else {}
+                note += f" types {odd}" if odd else ""
             else:
                 problem, note = None, f"{len(rows)} rows, no SQL"
         except Exception as error:

@@ -181,10 +181,12 @@ def test_page_elements():
 
 def test_substring_join_paths_agree(spark):
     items = spark.createDataFrame([(0, "the quick brown fox"), (1, "nothing"), (2, "xab"), (3, None), (4, "a quick brown dog runs")], "i int, t string")
-    keys = spark.createDataFrame([("quick brown fox",), ("ab",), ("quick brown dog runs fast",), ("",)], "k string")
+    long = "pad " * 1500 + "needle in a haystack" + " pad" * 1500
+    items = items.unionByName(spark.createDataFrame([(5, long), (6, "pad " * 3000)], "i int, t string"))
+    keys = spark.createDataFrame([("quick brown fox",), ("needle in a hay",), ("ab",), ("quick brown dog runs fast",), ("",)], "k string")
     for limit in (0, 10**6):
         got = joins.semi_by_substring(items, keys, "i", "t", max_key_bytes=limit).collect()
-        assert {r.i for r in got} == {0, 2}
+        assert {r.i for r in got} == {0, 2, 5}
 
 
 def test_services_report_errors(spark):
@@ -297,6 +299,18 @@ def test_writers(spark, tmp_path):
     assert listed.count() == 1 and "content" not in listed.columns
 
 
+def test_table_and_search(spark, tmp_path):
+    from chunkloom.operators.vectors import top_k_similar
+
+    for _ in range(2):
+        writers.ensure_table(spark, "made_here", "listing", str(tmp_path / "t"))
+    assert spark.table("made_here").columns == ["path", "size", "modified"]
+    spark.sql("DROP TABLE made_here")
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 2.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0]), (5, [-1.0, 0.0]), (6, [3.0, 0.0])]
+    found = top_k_similar(spark.createDataFrame(rows, "vec_id int, embedding array<float>"), [1.0, 0.0], 4).collect()
+    assert [(r.vec_id, round(r.similarity, 4)) for r in found] == [(0, 1.0), (6, 1.0), (1, 0.7071), (5, -1.0)]
+
+
 def test_index_schema(spark):
     rows = spark.createDataFrame([("1", "t", "d", "j", 5, "extra")], "id string, text string, doi string, journal string, date int, x string")
     shaped = records.index_rows(rows, "sci")
