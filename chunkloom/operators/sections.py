@@ -51,7 +51,14 @@ def _transfer(n, title, barrier, pos, profile: Profile):
     for i in range(len(n)):
         if barrier[i]:
             length, start, slot = np.zeros(1, int), np.full(1, -1), np.zeros_like(slot)
-            continue
+        if len(length) == 1:
+            # All entry lengths have met; from here on there is one state to follow.
+            state = _pack_lengths(
+                int(length[0]), int(start[0]), n[i:].tolist(), title[i:].tolist(), barrier[i:].tolist(),
+                pos[i:].tolist(), profile,
+            )
+            length, start = np.array([state[0]]), np.array([state[1]])
+            break
         fresh = (length == 0) | (length + len(SEP) + n[i] > profile.max_chars)
         if title[i]:
             fresh |= length >= profile.combine_under
@@ -59,7 +66,7 @@ def _transfer(n, title, barrier, pos, profile: Profile):
         start = np.where(fresh, pos[i], start)
         closed = length >= profile.soft
         length, start = np.where(closed, 0, length), np.where(closed, -1, start)
-        if len(length) > 1 and (i % 8 == 0 or closed.any()):
+        if i % 16 == 0:
             states, back = np.unique(np.stack([length, start]), axis=1, return_inverse=True)
             length, start, slot = states[0], states[1], np.asarray(back).reshape(-1)[slot]
     runs = []
@@ -72,6 +79,22 @@ def _transfer(n, title, barrier, pos, profile: Profile):
     return runs
 
 
+def _pack_lengths(length, start, n, title, barrier, pos, profile: Profile) -> tuple[int, int]:
+    """State after packing elements one after the other."""
+    soft, hard, under = profile.soft, profile.max_chars, profile.combine_under
+    for size, is_title, is_barrier, at in zip(n, title, barrier, pos):
+        if is_barrier:
+            length, start = 0, -1
+            continue
+        if length == 0 or length + len(SEP) + size > hard or (is_title and length >= under):
+            length, start = size, at
+        else:
+            length += len(SEP) + size
+        if length >= soft:
+            length, start = 0, -1
+    return length, start
+
+
 def _follow(runs, length: int, start: int) -> tuple[int, int]:
     low, shift, value, began = next(r for r in reversed(runs) if r[0] <= length)
     if shift:
@@ -167,7 +190,13 @@ def _pack(profile: Profile):
             ):
                 if at != (doc, blk):
                     close()
-                    at, length, start, page = (doc, blk), int(entry), int(began), number
+                    at, length, start, page = (doc, blk), 0, -1, number
+                if pos < 0:
+                    length, start = int(entry), int(began)
+                    page = None
+                    continue
+                if page is None:
+                    page = number
                 n = len(text)
                 if table or n > hard:
                     close()
@@ -226,17 +255,17 @@ def chunk_by_title(
         (F.col("category") == "Title").alias("_title"),
         (F.col("category") == "Table").alias("_table"),
     )
-    no_open, no_start = F.lit(0), F.lit(-1).cast("long")
-    if one_block:
-        placed = rows.withColumns({"_open": no_open, "_from": no_start})
-    else:
-        placed = rows.join(_entries_of_blocks(rows, profile), ["doc_id", "_blk"], "left").withColumns(
-            {"_open": F.coalesce("_open", no_open), "_from": F.coalesce("_from", no_start)}
-        )
+    placed = rows.withColumns({"_open": F.lit(None).cast("int"), "_from": F.lit(None).cast("long")})
+    if not one_block:
+        # The entry state comes as a row of its own that sorts before the block. A join in its place
+        # would have to be followed by a shuffle that the optimizer may drop as already done and then
+        # undo by reading the join's own shuffle locally.
+        entries = _entries_of_blocks(rows, profile).withColumn("pos", F.lit(-1).cast("long"))
+        placed = placed.unionByName(entries, allowMissingColumns=True)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     kinds |= {"sub": "int", "kind": "string"}
     packed = (
-        placed.repartition("doc_id", "_blk")
+        placed.repartition(F.xxhash64("doc_id", "_blk"))
         .sortWithinPartitions("doc_id", "_blk", "pos")
         .mapInPandas(_pack(profile), ", ".join(f"{c} {kinds[c]}" for c in _PACKED))
     )

@@ -14,6 +14,18 @@ pytestmark = pytest.mark.usefixtures("small_blocks")
 LO, HI = 3, 6
 
 
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    """Joins planned as broadcasts, and joins planned as shuffles that AQE may still turn around."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
+    yield
+    spark.conf.set(key, before)
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def documents(seed, make, n_docs=25, longest=14):
     rng = random.Random(seed)
     docs = {d: [make(rng) for _ in range(rng.randint(1, longest))] for d in range(n_docs)}
@@ -50,7 +62,7 @@ def fold_merge(texts):
 
 @pytest.mark.parametrize("longest", [None, 2])
 @pytest.mark.parametrize("seed", range(4))
-def test_merge(spark, seed, longest):
+def test_merge(spark, seed, longest, broadcast_limit):
     def make(rng):
         return text_of(rng) + ("<table><tr><td>1</table>" if rng.random() < 0.3 else "")
 
@@ -79,7 +91,7 @@ def test_merge_keeps_text_and_counts(spark):
     assert merging.merge_small_chunks(counted, LO, HI).count() == 3
 
 
-def test_scan_equals_window(spark):
+def test_scan_equals_window(spark, broadcast_limit):
     docs = documents(7, lambda rng: rng.choice(["", "a", "bb", "ccc"]))
     df = chunk_frame(spark, docs).withColumn("v", F.when(F.length("text") > 0, F.length("text")))
     specs = {
@@ -153,7 +165,7 @@ def test_attach_tables(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_title_blocks(spark, seed):
+def test_title_blocks(spark, seed, broadcast_limit):
     docs = documents(seed, lambda rng: rng.choice(["Title ", " Other", "Body.", "two\nlines", " ", "Last. "]))
     want = set()
     for d, texts in docs.items():
@@ -215,7 +227,7 @@ def fold_pack(items, profile):
     "profile",
     [sections.Profile(10, 30, 60), sections.Profile(0, None, 50), sections.Profile(40, None, 40), sections.Profile(5, 12, 200)],
 )
-def test_chunk_by_title(spark, profile, block_rows):
+def test_chunk_by_title(spark, profile, block_rows, broadcast_limit):
     def make(rng):
         words = ["word"] * rng.choice([1, 1, 1, 2, 2, 3, 5, 30])
         return rng.random() < 0.15, rng.random() < 0.05, " ".join(words)[: rng.randint(1, 140)].strip() or "w"
