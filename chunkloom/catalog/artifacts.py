@@ -8,12 +8,13 @@ from ..operators import checks, joins
 from ..sinks import records
 from .registry import CHUNKS, conversation_chunks, query, table
 
-_NAME = "l_partkey || '-' || l_suppkey || '-' || l_linenumber"
+_NAME = "l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || CAST(round(l_extendedprice * 100) AS BIGINT)"
 
 
 def _entries(spark, sf):
     item = table(spark, sf, "lineitem")
-    name = F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber")
+    price = F.round(F.col("l_extendedprice") * 100).cast("long")
+    name = F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber", price)
     return item.select(
         F.col("l_orderkey").alias("doc_id"),
         F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("role"),
