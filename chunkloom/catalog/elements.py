@@ -273,7 +273,7 @@ c AS (SELECT *, last_value(CASE WHEN tag NOT LIKE '/%' AND tag <> 'br' THEN tag
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos,
   CASE block WHEN 'li' THEN 'Header' WHEN 'h1' THEN 'Title' WHEN 'p' THEN 'NarrativeText' WHEN 'footer' THEN 'Footer'
     ELSE 'Text' END AS category,
-  replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text,
+  regexp_replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS text,
   CAST(1 AS INTEGER) AS page_number, NULL::VARCHAR AS html
 FROM c WHERE raw <> ''"""
 )

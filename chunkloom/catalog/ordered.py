@@ -425,8 +425,8 @@ def extract_tables(spark, sf):
     return found.select("doc_id", "pos", F.posexplode_outer("found").alias("sub", "text")).filter("text is not null")
 
 
-def _conversation_domain(name, spark, sf):
-    meta = table(spark, sf, "documents").select(
+def _domain_meta(spark, sf):
+    return table(spark, sf, "documents").select(
         "doc_id",
         F.col("source").alias("course"),
         F.col("lang").alias("name"),
@@ -450,10 +450,12 @@ def _conversation_domain(name, spark, sf):
         F.lit("2020-01-03 00:00:00").cast("timestamp_ntz").alias("release_date"),
         F.lit("2020-01-03 00:00:00").cast("timestamp_ntz").alias("effective_date"),
     )
+
+
+def _conversation_domain(name, spark, sf):
     chunks = conversation_chunks(spark, sf)
-    fulltext, _, _ = domains.build_index(
-        name, chunks, meta, lo=LO, hi=HI, longest=longest_document(chunks)
-    )
+    meta = _domain_meta(spark, sf)
+    fulltext, _, _ = domains.build_index(name, chunks, meta, lo=LO, hi=HI, longest=longest_document(chunks))
     return fulltext
 
 
@@ -547,3 +549,45 @@ def domain_standards(spark, sf):
 )
 def domain_internal(spark, sf):
     return _conversation_domain("internal", spark, sf)
+
+
+_VECTORS = {"esg": ("esg", "d.source"), "education": ("education", "d.source"), "textbooks": ("textbook", "d.source"),
+            "journals": ("sci", "d.source"), "reports": ("report", "d.source || '. ' || d.lang"),
+            "standards": ("standard", "d.source || '，' || d.lang")}
+_SHOWN_FIELD = {"esg": "title", "education": "course", "textbooks": "title", "journals": "journal",
+                "reports": "organization", "standards": "organization"}
+
+
+def _word_embedder():
+    """One value per text, the number of its words, and a constant."""
+    return lambda texts: [{"index": i, "embedding": [t.count(" ") + 1, 1]} for i, t in enumerate(texts)]
+
+
+@query(
+    f"""WITH {CHUNKS}, {merged_sql(LO, HI)}, k AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS idx,
+    CAST({words("replace(replace(text, chr(10) || chr(10), ' '), chr(10), ' ')")} AS DOUBLE) AS n FROM m)
+"""
+    + " UNION ALL ".join(
+        f"""SELECT '{namespace}' AS namespace, k.doc_id || '_' || idx AS id, k.text, {shown} AS shown,
+  round(n / sqrt(n * n + 1), 5) AS first_value FROM k JOIN documents d USING (doc_id)"""
+        for namespace, shown in _VECTORS.values()
+    )
+)
+def domain_vectors(spark, sf):
+    """Vector records of the kinds of source, each with the field that names its origin."""
+    chunks, meta = conversation_chunks(spark, sf), _domain_meta(spark, sf)
+    longest, out = longest_document(chunks), None
+    for name, shown in _SHOWN_FIELD.items():
+        _, found, _ = domains.build_index(
+            name, chunks, meta, _word_embedder, dims=2, lo=LO, hi=HI, longest=longest
+        )
+        rows = found.select(
+            "namespace",
+            "id",
+            F.col("metadata.text").alias("text"),
+            F.col(f"metadata.{shown}").alias("shown"),
+            F.round(F.element_at("values", 1).cast("double"), 5).alias("first_value"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -171,3 +171,34 @@ def claim_disposition(spark, sf):
         F.col("event_id").alias("msg_id"), (F.col("event_type") == "error").alias("archive_current_message")
     )
     return jobs.claim_disposition(claims)
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def dedupe_wakeups_stream(spark, sf):
+    """The same on a stream: repeats within the watermark are dropped."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    schema = table(spark, sf, "events").schema
+    stream = documents.read_new_files(spark, sf, schema, "events.parquet")
+    first = jobs.dedupe_wakeups(stream, ["user_id", "event_type"], delay="400 days")
+    run = documents.publish_batches(first, lambda batch: batch, f"{folder}/out", f"{folder}/state")
+    run.awaitTermination()
+    return documents.current_rows(spark, f"{folder}/out").select("user_id", "event_type")
+
+
+@query("SELECT o_orderkey AS document_id, CASE WHEN o_orderstatus = 'P' THEN 'waiting' ELSE 'ready' END AS state FROM orders")
+def ready_stream(spark, sf):
+    """Finished documents arrive as a stream; those whose remote manifest is there are ready."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    remote = orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("document_id"), F.lit(1).alias("document_version"))
+    files = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), F.lit("r").alias("role"), F.lit("n").alias("name"), F.lit(1).alias("size")
+    ).distinct()
+
+    def check(batch):
+        local = batch.select(F.col("o_orderkey").alias("document_id"), F.lit(1).alias("document_version"))
+        return jobs.ready_when_published(local, remote, files, files.drop("role"), F.lit(False))
+
+    stream = documents.read_new_files(spark, sf, orders.schema, "orders.parquet")
+    documents.publish_batches(stream, check, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return documents.current_rows(spark, f"{folder}/out").select("document_id", "state")

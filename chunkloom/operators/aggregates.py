@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
+
 
 def stage_counts(meta: DataFrame, stages: list[str]) -> DataFrame:
     return meta.agg(
@@ -53,7 +55,7 @@ def progress_summary(items: DataFrame, done: DataFrame, key: str = "doc_id") ->
 
 def document_rollup(chunks: DataFrame) -> DataFrame:
     """Chunks kept, seen and dropped per document, with its artefact id."""
-    kept = F.coalesce(F.length(F.trim("text")), F.lit(0)) > 0
+    kept = ~is_blank(F.col("text"))
     return chunks.groupBy("doc_id").agg(
         F.count_if(kept).alias("chunk_count"),
         F.count("*").alias("original_chunk_count"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,17 +14,21 @@ from ..operators.shards import SHARD_POLICIES
 from ..schemas import TABLES
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
     """Append the chunks of documents that have none yet."""
     spark = chunks.sparkSession
-    if _exists(spark, path):
-        done = spark.read.parquet(path).select("doc_id").distinct()
-        chunks = chunks.join(done, "doc_id", "left_anti")
+    written = _read_if_there(lambda: spark.read.schema(chunks.schema).parquet(path))
+    if written is not None:
+        chunks = chunks.join(written.select("doc_id").distinct(), "doc_id", "left_anti")
     chunks.write.mode("append").parquet(path)
 
 
@@ -66,8 +73,9 @@ def record_failures(results: DataFrame, path: str, key: str = "doc_id") -> None:
     """Append failed ids that are not on the list yet."""
     spark = results.sparkSession
     failed = failed_ids(results, key)
-    if _exists(spark, path):
-        known = spark.read.schema(T.StructType([failed.schema[key]])).csv(path)
+    schema = T.StructType([failed.schema[key]])
+    known = _read_if_there(lambda: spark.read.schema(schema).csv(path))
+    if known is not None:
         failed = failed.join(known, key, "left_anti")
     failed.write.mode("append").csv(path)
 

@@ -105,7 +105,9 @@ def task_timeouts(
 def dedupe_wakeups(events: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """First wake-up per key; on a stream, repeats within the watermark are dropped."""
     if events.isStreaming:
-        return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+        # A watermark needs an instant, so zone-less times are read in the session's zone.
+        timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
+        return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
     rest = [c for c in events.columns if c not in keys]
     firsts = events.groupBy(*keys).agg(F.min(F.struct(ts, *[c for c in rest if c != ts])).alias("_row"))
     return firsts.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
