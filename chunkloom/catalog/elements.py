@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import checks, filters, sections
 from ..sources.markup import html_to_elements as to_elements
-from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, query, table
+from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, longest_text, query, table
 
 
 @query(f"WITH {ELEMENTS} SELECT * FROM e")
@@ -55,22 +55,22 @@ _OUT = ("doc_id", "pos", "sub", "kind", "text")
 
 @query(f"WITH RECURSIVE {ELEMENTS}, {packed_sql(100, 512, 4096)} SELECT * FROM p")
 def chunk_by_title_pdf(spark, sf):
-    return sections.chunk_by_title(document_elements(spark, sf), "pdf").select(*_OUT)
+    return sections.chunk_by_title(document_elements(spark, sf), "pdf", longest=longest_text(spark, sf)).select(*_OUT)
 
 
 @query(f"WITH RECURSIVE {ELEMENTS}, {packed_sql(0, 8192, 8192)} SELECT * FROM p")
 def chunk_by_title_docx(spark, sf):
-    return sections.chunk_by_title(document_elements(spark, sf), "docx").select(*_OUT)
+    return sections.chunk_by_title(document_elements(spark, sf), "docx", longest=longest_text(spark, sf)).select(*_OUT)
 
 
 @query(f"WITH RECURSIVE {ELEMENTS}, {packed_sql(0, 4000, 4000)} SELECT * FROM p")
 def chunk_by_title_docx_titled(spark, sf):
-    return sections.chunk_by_title(document_elements(spark, sf), "docx_titled").select(*_OUT)
+    return sections.chunk_by_title(document_elements(spark, sf), "docx_titled", longest=longest_text(spark, sf)).select(*_OUT)
 
 
 @query(f"WITH RECURSIVE {ELEMENTS}, {packed_sql(0, 4096, 4096)} SELECT * FROM p")
 def chunk_by_title_objects(spark, sf):
-    return sections.chunk_by_title(document_elements(spark, sf), "objects").select(*_OUT)
+    return sections.chunk_by_title(document_elements(spark, sf), "objects", longest=longest_text(spark, sf)).select(*_OUT)
 
 
 @query(f"WITH RECURSIVE {ELEMENTS}, {packed_sql(1000, 1000, 1000)} SELECT * FROM p")
@@ -119,7 +119,7 @@ def cut_back_matter(spark, sf):
     marked = (F.col("category") == "Title") & (F.col("pos") > 0)
     text = F.when(marked, F.concat(F.lit(" Refer ences: "), F.col("text"))).otherwise(F.col("text"))
     elements = document_elements(spark, sf).select("doc_id", "pos", "category", text.alias("text"))
-    return filters.cut_back_matter(elements)
+    return filters.cut_back_matter(elements, longest=longest_text(spark, sf))
 
 
 @query(
@@ -152,7 +152,7 @@ def slice_between_last(spark, sf):
         .otherwise(F.col("text"))
     )
     elements = document_elements(spark, sf).select("doc_id", "pos", "category", text.alias("text"))
-    return filters.slice_between_last(elements)
+    return filters.slice_between_last(elements, longest=longest_text(spark, sf))
 
 
 @query(

@@ -9,7 +9,7 @@ from ..operators import filters, merging, sections, tables
 from ..operators.segments import longest_document
 from ..plans import domains
 from ..sinks import records
-from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, merged_sql, query, table, words
+from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, longest_text, merged_sql, query, table, words
 
 LO, HI = 25, 90
 
@@ -119,7 +119,7 @@ SELECT doc_id, min(pos) AS pos,
 FROM g GROUP BY doc_id, CASE WHEN grp = bodies AND bodies > 0 THEN grp - 1 ELSE grp END"""
 )
 def merge_title_blocks(spark, sf):
-    return merging.merge_title_blocks(document_elements(spark, sf))
+    return merging.merge_title_blocks(document_elements(spark, sf), longest=longest_text(spark, sf))
 
 
 @query(
@@ -301,7 +301,7 @@ FROM s WHERE heading <> '' GROUP BY doc_id, heading"""
 )
 def heading_sections(spark, sf):
     paragraphs = document_elements(spark, sf).withColumn("is_heading", F.col("category") == "Title")
-    return sections.heading_sections(paragraphs)
+    return sections.heading_sections(paragraphs, longest=longest_text(spark, sf))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
-from ..sources.readers import lines_to_elements
+from ..sources.readers import lines_to_elements, most_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def document_elements(spark: SparkSession, sf: str) -> DataFrame:
     return lines_to_elements(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def longest_text(spark: SparkSession, sf: str) -> int:
+    return most_lines(table(spark, sf, "documents"))
+
+
 # SQL counterparts.
 SPACE = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
 

@@ -17,7 +17,7 @@ def _meta(spark, sf):
         table(spark, sf, "documents")
         .select("doc_id", "lang", "source", "n_chars")
         .join(labels, "doc_id", "left")
-        .withColumn("unstructure_time", F.when(F.col("quality").isNotNull(), at))
+        .withColumn("parse_time", F.when(F.col("quality").isNotNull(), at))
         .withColumn("fulltext_time", F.when(F.col("quality") == 1, at))
     )
 
@@ -26,7 +26,7 @@ def _meta(spark, sf):
     """SELECT doc_id, lang FROM documents JOIN labels USING (doc_id) WHERE quality <> 1 OR quality IS NULL"""
 )
 def scan_pending(spark, sf):
-    return readers.scan_pending(_meta(spark, sf), ["unstructure_time"], ["fulltext_time"]).select("doc_id", "lang")
+    return readers.scan_pending(_meta(spark, sf), ["parse_time"], ["fulltext_time"]).select("doc_id", "lang")
 
 
 @query("SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE lang = 'en' AND toxic = 0")
@@ -88,11 +88,11 @@ def diff_summary(spark, sf):
 
 
 @query(
-    """SELECT count(*) AS n_rows, count(quality) AS n_unstructure_time,
+    """SELECT count(*) AS n_rows, count(quality) AS n_parse_time,
   count(*) FILTER (quality = 1) AS n_fulltext_time FROM documents LEFT JOIN labels USING (doc_id)"""
 )
 def stage_counts(spark, sf):
-    return aggregates.stage_counts(_meta(spark, sf), ["unstructure_time", "fulltext_time"])
+    return aggregates.stage_counts(_meta(spark, sf), ["parse_time", "fulltext_time"])
 
 
 @query(

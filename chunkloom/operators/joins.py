@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from .segments import scan
 
+try:
+    import ahocorasick
+except ImportError:  # without the automaton all key sets take the join
+    ahocorasick = None
+
 
 def attach_metadata(chunks: DataFrame, meta: DataFrame, longest: int | None = None) -> DataFrame:
     """Inner join of ordered chunks with one metadata row per document, balanced for large documents."""
@@ -116,7 +121,7 @@ def semi_by_substring(
     """Items whose text contains at least one key; whole texts, no pairwise comparison."""
     words = keys.select(F.col(keys.columns[0]).alias("_key")).filter(F.length("_key") > 0).distinct()
     size = words.agg(F.sum(F.octet_length("_key"))).first()[0] or 0
-    if size <= max_key_bytes:
+    if size <= max_key_bytes and ahocorasick is not None:
         return _match_sent_keys(items, [r[0] for r in words.collect()], text)
     return _match_joined_keys(items, words, item_id, text, gram)
 
@@ -129,8 +134,6 @@ def _match_sent_keys(items: DataFrame, words: list[str], text: str) -> DataFrame
         if not sent.value:
             yield from (pd.Series([False] * len(b)) for b in batches)
             return
-        import ahocorasick
-
         machine = ahocorasick.Automaton()
         for word in sent.value:
             machine.add_word(word, 1)

@@ -96,14 +96,45 @@ def _pack_lengths(length, start, n, title, barrier, pos, profile: Profile) -> tu
 
 
 def _follow(runs, length: int, start: int) -> tuple[int, int]:
+    """State on exit for one state on entry."""
     low, shift, value, began = next(r for r in reversed(runs) if r[0] <= length)
     if shift:
         return length + value, start if length else began
     return value, began
 
 
-def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
-    """``doc_id, _blk, _open, _from``: state on entry to every block but the first of a long document."""
+def _compose(first, second):
+    """Runs of two neighbouring stretches taken together."""
+    out = []
+
+    def add(low, shift, value, began):
+        if not out or out[-1][1:] != (shift, value, began):
+            out.append((low, shift, value, began))
+
+    for k, (low, shift, value, began) in enumerate(first):
+        if not shift:
+            add(low, False, *_follow(second, value, began))
+            continue
+        high = first[k + 1][0] if k + 1 < len(first) else None
+        for m, (low2, shift2, value2, began2) in enumerate(second):
+            high2 = second[m + 1][0] if m + 1 < len(second) else None
+            begin = max(low, low2 - value)
+            if (high is None or begin < high) and (high2 is None or begin + value < high2):
+                add(begin, shift2, value + value2 if shift2 else value2, began2)
+    return out
+
+
+# Blocks chained in one group; longer documents are chained over groups of blocks.
+CHAIN = 1000
+
+
+def _entries_of_blocks(elements: DataFrame, profile: Profile, chain: int | None = None) -> DataFrame:
+    """``doc_id, _blk, _open, _from``: state on entry to every block but the first of a long document.
+
+    Maps compose, so even a document of millions of blocks never meets in one task: groups of blocks
+    are composed in parallel, only the groups are chained, and each group is then chained from its
+    own entry state.
+    """
     n = F.length("text")
     narrow = elements.select(
         "doc_id", "_blk", "pos", n.alias("_n"), "_title",
@@ -115,39 +146,48 @@ def _entries_of_blocks(elements: DataFrame, profile: Profile) -> DataFrame:
         .filter("_b1 > _b0")
     )
     doc_type = elements.schema["doc_id"].dataType.simpleString()
+    maps = f"doc_id {doc_type}, at_ long, low array<int>, shift array<boolean>, value array<int>, began array<long>"
+    entries = f"doc_id {doc_type}, at_ long, _open int, _from long"
 
-    def summarise(keys, block):
-        block = block.sort_values("pos")
-        runs = _transfer(
-            block["_n"].to_numpy(), block["_title"].to_numpy(), block["_barrier"].to_numpy(),
-            block["pos"].to_numpy(), profile,
-        )
-        columns = list(zip(*runs))
+    def as_row(doc, at, runs):
+        low, shift, value, began = (list(c) for c in zip(*runs))
         return pd.DataFrame(
-            {"doc_id": [keys[0]], "_blk": [keys[1]], "low": [list(columns[0])], "shift": [list(columns[1])],
-             "value": [list(columns[2])], "began": [list(columns[3])]}
-        )
-
-    summary = (
-        narrow.join(long_docs, "doc_id")
-        .groupBy("doc_id", "_blk")
-        .applyInPandas(
-            summarise,
-            f"doc_id {doc_type}, _blk long, low array<int>, shift array<boolean>, value array<int>, "
-            "began array<long>",
+            {"doc_id": [doc], "at_": [at], "low": [low], "shift": [shift], "value": [value], "began": [began]}
         )
-    )
 
-    def chain(keys, blocks):
-        length, start, out = 0, -1, []
-        for row in blocks.sort_values("_blk").itertuples(index=False):
-            out.append((keys[0], row[1], length, start))
-            length, start = _follow(list(zip(row[2], row[3], row[4], row[5])), length, start)
-        return pd.DataFrame(out, columns=["doc_id", "_blk", "_open", "_from"])
+    def runs_of(row):
+        return list(zip(row.low, row.shift, row.value, row.began))
 
-    return summary.groupBy("doc_id").applyInPandas(
-        chain, f"doc_id {doc_type}, _blk long, _open int, _from long"
-    )
+    def summarise(keys, block):
+        block = block.sort_values("pos")
+        columns = (block[c].to_numpy() for c in ("_n", "_title", "_barrier", "pos"))
+        return as_row(keys[0], keys[1], _transfer(*columns, profile))
+
+    def compose(keys, blocks):
+        runs = None
+        for row in blocks.sort_values("at_").itertuples(index=False):
+            runs = runs_of(row) if runs is None else _compose(runs, runs_of(row))
+        return as_row(keys[0], keys[1], runs)
+
+    def follow(keys, blocks):
+        ordered = blocks.sort_values("at_")
+        length, start = 0, -1
+        if "_open" in ordered.columns:
+            length, start = int(ordered["_open"].iloc[0]), int(ordered["_from"].iloc[0])
+        out = []
+        for row in ordered.itertuples(index=False):
+            out.append((row.doc_id, row.at_, length, start))
+            length, start = _follow(runs_of(row), length, start)
+        return pd.DataFrame(out, columns=["doc_id", "at_", "_open", "_from"])
+
+    blocks = narrow.join(long_docs.select("doc_id"), "doc_id").groupBy("doc_id", "_blk")
+    blocks = blocks.applyInPandas(summarise, maps)
+    group = F.expr(f"at_ div {chain or CHAIN}")
+    groups = blocks.groupBy("doc_id", group.alias("_grp")).applyInPandas(compose, maps)
+    starts = groups.groupBy("doc_id").applyInPandas(follow, entries)
+    placed = blocks.withColumn("_grp", group).join(starts.withColumnRenamed("at_", "_grp"), ["doc_id", "_grp"])
+    found = placed.groupBy("doc_id", "_grp").applyInPandas(follow, entries)
+    return found.withColumnRenamed("at_", "_blk")
 
 
 def _cut(text: str, limit: int) -> list[str]:

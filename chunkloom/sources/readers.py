@@ -25,7 +25,8 @@ def scan_pending(
 def list_artifacts(spark: SparkSession, root: str, suffix: str = "", prefix: str = "") -> DataFrame:
     """``path`` (relative to the root), ``size`` and ``modified`` of the files below a folder.
 
-    The file contents are pruned from the scan.
+    The file contents are pruned from the scan. Spark's file index leaves out empty files, so an empty
+    artefact looks like a missing one.
     """
     files = (
         spark.read.format("binaryFile")
@@ -176,6 +177,12 @@ def scan_work_batches(
     return ranked.withColumn("batch", F.floor((F.col("rn") - 1) / size)).drop("rn", "n_rows")
 
 
+def most_lines(docs: DataFrame) -> int:
+    """Largest line position of any text: the bound ``longest`` of its elements, without making them."""
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return docs.agg(F.max(breaks)).first()[0] or 0
+
+
 def lines_to_elements(docs: DataFrame, title_below: int = 40) -> DataFrame:
     """One element per line of text; the first line and short lines without a full stop are titles.
 

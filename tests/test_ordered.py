@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from chunkloom.operators import filters, merging, sections, segments
@@ -227,7 +228,9 @@ def fold_pack(items, profile):
     "profile",
     [sections.Profile(10, 30, 60), sections.Profile(0, None, 50), sections.Profile(40, None, 40), sections.Profile(5, 12, 200)],
 )
-def test_chunk_by_title(spark, profile, block_rows, broadcast_limit):
+def test_chunk_by_title(spark, profile, block_rows, broadcast_limit, monkeypatch):
+    monkeypatch.setattr(sections, "CHAIN", 3)
+
     def make(rng):
         words = ["word"] * rng.choice([1, 1, 1, 2, 2, 3, 5, 30])
         return rng.random() < 0.15, rng.random() < 0.05, " ".join(words)[: rng.randint(1, 140)].strip() or "w"
@@ -288,3 +291,26 @@ def test_heading_sections(spark):
     frame = spark.createDataFrame(rows, "doc_id long, pos long, is_heading boolean, text string")
     got = [(r.heading, r.body) for r in sections.heading_sections(frame).orderBy("pos").collect()]
     assert got == [("A", "three"), ("B", "")]
+
+
+def test_block_maps_compose():
+    rng = random.Random(4)
+    for _ in range(300):
+        profile = sections.Profile(rng.choice([0, 5, 20]), rng.choice([None, 12]), rng.choice([20, 40]))
+
+        def block(start):
+            items = range(start, start + rng.randint(1, 6))
+            values = [(rng.randint(1, 15), rng.random() < 0.2, rng.random() < 0.1, p) for p in items]
+            return [np.array(c) for c in zip(*values)]
+
+        blocks = [block(0), block(10), block(20)]
+        maps = [sections._transfer(*b, profile) for b in blocks]
+        whole = sections._compose(sections._compose(maps[0], maps[1]), maps[2])
+        for entry in range(profile.soft):
+            state = (entry, -1 if entry == 0 else -5)
+            step = state
+            for b, m in zip(blocks, maps):
+                want = sections._pack_lengths(*step, *(c.tolist() for c in b), profile)
+                step = sections._follow(m, *step)
+                assert step == want
+            assert sections._follow(whole, *state) == step

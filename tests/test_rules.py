@@ -358,3 +358,32 @@ def test_streams_agree_with_batches(spark, tmp_path):
     run = documents.publish_batches(jobs.dedupe_wakeups(wake, ["job_id"]), lambda b: b, str(tmp_path / "w"), str(tmp_path / "wcp"))
     run.awaitTermination()
     assert documents.current_rows(spark, str(tmp_path / "w")).count() == 1
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.v1.pdf").write_bytes(b"123")
+    (tmp_path / "raw" / "b.pdf").write_bytes(b"")
+    meta = spark.createDataFrame([("a", 1), ("c", 2)], "doc_id string, n int")
+    found = readers.scan_raw_documents(spark, str(tmp_path / "raw"), meta, ".pdf").collect()
+    assert [(r.doc_id, bytes(r.content), r.size, r.n) for r in found] == [("a", b"123", 3, 1)]
+    listing = readers.list_artifacts(spark, str(tmp_path / "raw"), ".pdf")
+    assert {(r.path, r["size"]) for r in listing.collect()} == {("a.v1.pdf", 3)}  # empty files are not listed
+    assert [r.doc_id for r in readers.missing_documents(listing, meta).collect()] == ["c"]
+
+    (tmp_path / "json").mkdir()
+    for name, result in (("x.1", {"Year": "2020"}), ("y", [{"Year": 1}, {"Year": 2}]), ("z", []), ("w", {})):
+        (tmp_path / "json" / f"{name}.json").write_text(json.dumps({"result": result}))
+    rows = {(r.filename_prefix, r.row) for r in readers.read_result_json(spark, str(tmp_path / "json")).collect()}
+    assert rows == {("x", '{"Year":"2020"}'), ("y", '{"Year":1}'), ("y", '{"Year":2}')}
+
+    lists = str(tmp_path / "lists")
+    lines = [{"doc_id": "d", "chunks": [{"text": "a", "page_number": 1}, {"text": "b"}]}]
+    (tmp_path / "lists").mkdir()
+    (tmp_path / "lists" / "c.json").write_text("\n".join(json.dumps(x) for x in lines))
+    got = readers.read_chunks(spark, lists, "pair", "json").orderBy("pos").collect()
+    assert [(r.pos, r.text, r.page_number) for r in got] == [(0, "a", 1), (1, "b", None)]
+    with pytest.raises(ValueError):
+        readers.explode_chunks(meta, "odd")
+    docs = spark.createDataFrame([("a\nb\n",), ("",)], "text string")
+    assert readers.most_lines(docs) == 2
