@@ -149,3 +149,24 @@ def domain_knowledge_base(spark, sf):
     _, _, manifests, _ = domains.build_knowledge_base(chunks, docs, _shape_embedder, dims=3)
     entries = records.manifest_entries(manifests)
     return entries.join(manifests.select("doc_id", "chunk_count", "lang"), "doc_id")
+
+
+@query(
+    """WITH k AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_type || ' ' || p_name AS abstract, p_brand AS country FROM part
+  WHERE p_size >= 10),
+v AS (SELECT *, CAST(len(abstract) AS DOUBLE) AS a, CAST(len(abstract) - len(replace(abstract, ' ', '')) AS DOUBLE) AS b FROM k)
+SELECT 'patent' AS namespace, id, abstract, country, round(a / sqrt(a * a + b * b + 1), 5) AS first_value FROM v"""
+)
+def domain_patent_vectors(spark, sf):
+    """One vector per complete patent."""
+    patents = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("publication_number"),
+        F.when(F.col("p_size") < 10, F.lit("")).otherwise(F.col("p_name")).alias("title"),
+        F.concat_ws(" ", "p_type", "p_name").alias("abstract"),
+        F.col("p_name").alias("url"),
+        F.col("p_brand").alias("country"),
+        F.lit("20200101").alias("publication_date"),
+    )
+    _, found = domains.build_patent_index(patents, _shape_embedder, dims=3)
+    first = F.round(F.element_at("values", 1).cast("double"), 5).alias("first_value")
+    return found.select("namespace", "id", F.col("metadata.abstract").alias("abstract"), F.col("metadata.country").alias("country"), first)

@@ -387,3 +387,16 @@ def test_readers(spark, tmp_path):
         readers.explode_chunks(meta, "odd")
     docs = spark.createDataFrame([("a\nb\n",), ("",)], "text string")
     assert readers.most_lines(docs) == 2
+
+
+def test_timeouts_on_a_stream(spark, tmp_path):
+    rows = [("a", 0, "SUBMITTED"), ("a", 10, "STARTED"), ("b", 0, "SUBMITTED"), ("c", 0, "SUBMITTED"), ("c", 5, "SUCCESS")]
+    frame = spark.createDataFrame(rows, "task_id string, at long, state string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    want = {("a", "timeout")}
+    assert {tuple(r) for r in jobs.task_timeouts(frame, F.lit(900), 800, 5000).collect()} == want
+    stream = jobs.task_timeouts(documents.read_new_files(spark, str(tmp_path / "in"), frame.schema), F.lit(900), 800, 5000)
+    run = documents.publish_batches(stream, lambda b: b, str(tmp_path / "out"), str(tmp_path / "cp"), "update")
+    run.awaitTermination()
+    got = documents.current_rows(spark, str(tmp_path / "out")).select("task_id", "problem")
+    assert {tuple(r) for r in got.collect()} == want
