@@ -591,3 +591,33 @@ def domain_vectors(spark, sf):
         )
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query(f"WITH {CHUNKS} SELECT c.doc_id, pos, c.text, d.lang FROM c JOIN documents d USING (doc_id) WHERE d.lang <> 'de'")
+def attach_metadata(spark, sf):
+    """Chunks of German documents have no metadata row and are left out."""
+    from ..operators.joins import attach_metadata as attach
+
+    meta = table(spark, sf, "documents").filter("lang <> 'de'").select("doc_id", "lang")
+    return attach(conversation_chunks(spark, sf).select("doc_id", "pos", "text"), meta)
+
+
+@query(f"WITH {CHUNKS} SELECT doc_id, count(*) FILTER ({words('text')} > {HI}) AS n_oversize FROM c GROUP BY doc_id")
+def oversize_report(spark, sf):
+    return merging.oversize_report(conversation_chunks(spark, sf), HI)
+
+
+@query(
+    f"""WITH {CHUNKS} SELECT doc_id || '_' || pos AS id, text, CAST(doc_id AS VARCHAR) AS doi, title AS journal,
+  CAST(page_number AS BIGINT) AS date FROM c"""
+)
+def index_schema_rows(spark, sf):
+    """Rows ordered and cast to the schema registered for an index."""
+    rows = conversation_chunks(spark, sf).select(
+        F.concat_ws("_", "doc_id", "pos").alias("id"),
+        F.col("page_number").alias("date"),
+        F.col("doc_id").alias("doi"),
+        F.col("title").alias("journal"),
+        "text",
+    )
+    return records.index_rows(rows, "sci")
