@@ -12,6 +12,12 @@ from .common import table
 from .decontamination import decontaminate
 from .mixing import mix
 from .near_dedup import near_duplicates
+from .pii import KINDS as PERSONAL
+from .pii import find_personal_data
+from .quality import classify
+from .secret_scan import KINDS as SECRETS
+from .secret_scan import scan_secrets
+from .spans import listed, of_kind
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +46,35 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[of_kind(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base, SECRETS, by_kind=False), 256).alias("base_sha256"),
+        listed(F.col("spans"), SECRETS, by_kind=False).alias("spans"),
+    )
+
+
+@query()
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[of_kind(F.col("spans"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed(base, PERSONAL, by_kind=True), 256).alias("base_sha256"),
+        listed(F.col("spans"), PERSONAL, by_kind=True).alias("spans"),
+    )
+
+
+@query()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(oracles.MIXING)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
