@@ -62,3 +62,40 @@ q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY turn, CAST(doc_id A
 SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
   size * (CAST(floor(rate) AS BIGINT) + CAST(rate > floor(rate) AND upto - size / 2.0 <= due AS BIGINT)) END AS taken
 FROM q"""
+
+SUBSTRING = rf"""
+WITH d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i,
+    unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) AS g
+  FROM d WHERE len(w) >= 35),
+r AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
+p AS (SELECT doc_id, list(DISTINCT p) AS gone
+  FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM x SEMI JOIN r USING (g)) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+    list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(gone, z[2])),
+      lambda z: z[1]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)"""
+
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+URL_FILTER = f"""
+WITH p AS (SELECT page_id, url, coalesce({LOWER.format("regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1)")}, '') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+l AS (SELECT host FROM p GROUP BY host HAVING host <> '' AND 3 * count(*) FILTER (contains(url, 'utm_')) >= count(*)),
+r AS (SELECT page_id, host, path, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+  WHEN rule IS NOT NULL THEN 'allow' WHEN host IN (SELECT host FROM l) THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""

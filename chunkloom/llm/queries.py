@@ -18,6 +18,10 @@ from .quality import classify
 from .secret_scan import KINDS as SECRETS
 from .secret_scan import scan_secrets
 from .spans import listed, of_kind
+from .substring_dedup import remove_repeated_words
+from .suffix_dedup import remove_repeated_bytes
+from .topk import top_k
+from .url_filter import judge, tracking_hosts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +50,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(oracles.TOP_K)
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
@@ -58,6 +67,24 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(oracles.SUBSTRING)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
+
+
+@query(oracles.URL_FILTER)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge(pages, tracking_hosts(pages))
+
+
+@query()
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
