@@ -5,8 +5,9 @@ only anchors that occur at two places of the corpus can belong to repeated windo
 same anchor make a run; a run's text is a snippet. Snippets of one anchor meet in one shard, after equal ones were
 counted together, and the operator's matcher decides exactly which windows of each snippet occur twice. Each window
 of the corpus lies in exactly one run, so the weights of the snippets are the true numbers of occurrences. An
-anchor with very many different snippets (the edge of a passage that stands in very many texts) has no shard: its
-windows are counted one by one by a 128-bit digest, which no single task has to gather.
+anchor with very many different snippets (the edge of a passage that stands in very many texts) has no shard that a
+single task would have to gather: its windows are settled by ``settle``, which halves ranges of windows and counts
+digests.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_VALUES, KEY, chunks, grams, row_key, text_bytes, with_columns_renamed, words_of, written
 
-HOT = 300  # different snippets of an anchor above which its windows are counted one by one
+HOT = 300  # different snippets of an anchor above which it has no shard
 
 
 @dataclass(frozen=True)
@@ -122,9 +123,72 @@ def snippets(unit: Unit, texts: list[bytes], wanted: np.ndarray):
             yield doc, s - int(first[doc]), value, joined[starts[s] : ends[e + unit.window - 2]]
 
 
-def windows_of(unit: Unit, snippet: bytes) -> list[bytes]:
+def ranges(unit: Unit, snippet: bytes, anchor: int, level: int, part: int):
+    """(from, to, core, whole) of the ranges of windows in a part of a level.
+
+    The lead of a window is the distance from its start to the first place of the anchor in it, which equal windows
+    share. Part i of level t holds the leads from i * 2**t to below (i + 1) * 2**t. ``core`` is what all windows of
+    the part around that place have in common, ``whole`` the text of the range.
+    """
     joined, hashes, _, starts, ends = unit.parts([snippet])
-    return [joined[starts[s] : ends[s + unit.window - 1]] for s in range(len(hashes) - unit.window + 1)]
+    every = (grams(hashes, unit.gram) | np.uint64(1)).view(np.int64)
+    spots = np.flatnonzero(every == anchor)
+    at = np.arange(len(hashes) - unit.window + 1)
+    lead = spots[np.searchsorted(spots, at)] - at
+    mine = np.flatnonzero(lead >> level == part)
+    if not len(mine):
+        return
+    fresh = np.append(True, (np.diff(mine) != 1) | (np.diff(lead[mine]) != -1))
+    heads = np.flatnonzero(fresh)
+    low, high = part << level, min(((part + 1) << level) - 1, unit.window - unit.gram)
+    for a, b in zip(mine[heads].tolist(), (mine[np.append(heads[1:], len(mine)) - 1] + 1).tolist()):
+        spot = a + int(lead[a])
+        core = joined[starts[spot - low] : ends[spot - high + unit.window - 1]]
+        yield a, b, b"%d %d %d " % (level, part, anchor) + core, b"%d %d " % (lead[a], anchor) + joined[starts[a] : ends[b + unit.window - 2]]
+
+
+def settle(hot: DataFrame, unit: Unit) -> DataFrame:
+    """Verdicts for distinct snippets (anchor, low, high, snippet, weight) of anchors that have very many.
+
+    Ranges of windows are tested level by level. A range whose core occurs once holds no repeated window; a range
+    that occurs twice as a whole holds only such, and one of its copies goes on for the others; the rest are halved,
+    down to single windows. Each level has at
+    most a few rows for a snippet, counted by 128-bit digests with partial sums, so no key has to be gathered.
+    """
+    levels = (unit.window - unit.gram).bit_length()
+    parts = hot.select(*CODE, F.lit(0).alias("part"))
+    found = []
+    for level in range(levels, -1, -1):
+
+        def probe(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                got = []
+                for *code, part, snippet, weight in zip(*(batch.column(c).to_pylist() for c in (*CODE, "part", "snippet", "weight"))):
+                    for a, b, core, whole in ranges(unit, snippet, code[0], level, part):
+                        got.append((*code, part, a, b, *digest(core), *digest(whole), weight))
+                yield _batch(got, PROBE)
+
+        rows = parts.join(hot, CODE).select(*CODE, "part", "snippet", "weight")
+        rows = written(rows.mapInArrow(probe, PROBE), "probes")
+        cores = rows.groupBy("c_low", "c_high").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
+        rows = rows.join(cores, ["c_low", "c_high"])
+        if level == 0:
+            found.append(rows.select(*CODE, "a", "b"))
+            break
+        wholes = rows.groupBy("w_low", "w_high").agg(F.sum("weight").alias("n"), F.min(F.struct(*CODE, "part")).alias("one"))
+        wholes = wholes.where("n > 1").drop("n")
+        found.append(rows.join(wholes, ["w_low", "w_high"]).select(*CODE, "a", "b"))
+        rest = rows.join(wholes, ["w_low", "w_high"], "left_anti").select(*CODE, "part")
+        # One range of each whole goes on too: others may share some of its windows only.
+        going = rest.unionByName(wholes.select("one.*"))
+        halves = F.explode(F.array(F.col("part") * 2, F.col("part") * 2 + 1)).alias("part")
+        parts = written(going.select(*CODE, halves).distinct(), "parts")
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.groupBy(*CODE).agg(F.collect_list(F.struct("a", "b")).alias("r")).select(
+        *CODE, F.col("r.a").alias("begins"), F.col("r.b").alias("ends")
+    )
 
 
 # A matcher gets (snippet, weight) pairs that may share windows and gives for each the runs (from, to) of windows
@@ -159,7 +223,7 @@ def repeated(docs: DataFrame, unit: Unit, match: Matcher, shard_bytes: int) -> D
     placed = seen.select(*KEY, F.explode("anchors").alias("anchor"))
     twice = placed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     held = placed.distinct().join(twice, "anchor").groupBy(*KEY).agg(F.collect_list("anchor").alias("wanted"))
-    texts = rows.select(*KEY, "text").join(held, KEY)
+    texts = written(rows.select(*KEY, "text").join(held, KEY), "held")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,19 +271,10 @@ def repeated(docs: DataFrame, unit: Unit, match: Matcher, shard_bytes: int) -> D
     shards = shards.repartition("anchor").sortWithinPartitions(*CODE)
     verdict = shards.mapInArrow(judge, VERDICT)
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = []
-            for *code, snippet, weight in zip(*(batch.column(c).to_pylist() for c in (*CODE, "snippet", "weight"))):
-                got += [(*code, j, *digest(w), weight) for j, w in enumerate(windows_of(unit, snippet))]
-            yield _batch(got, WINDOWS)
-
-    alone = distinct.join(hot, "anchor", "left_semi").select(*CODE, "snippet", "weight").mapInArrow(single, WINDOWS)
-    alone = written(alone, "windows")
-    often = alone.groupBy("w_low", "w_high").agg(F.sum("weight").alias("all")).where("all > 1").select("w_low", "w_high")
-    alone = alone.join(often, ["w_low", "w_high"]).groupBy(*CODE).agg(F.sort_array(F.collect_list("j")).alias("begins"))
-    alone = alone.withColumn("ends", F.transform("begins", lambda j: j + 1))
-    verdict = written(verdict.unionByName(alone), "verdicts")
+    hot_snippets = written(distinct.join(hot, "anchor", "left_semi").select(*CODE, "snippet", "weight"), "hot")
+    if not hot_snippets.isEmpty():
+        verdict = verdict.unionByName(settle(hot_snippets, unit))
+    verdict = written(verdict, "verdicts")
     found = cuts.select(*KEY, "at", *CODE).join(verdict, CODE)
     # Equal rows have equal runs; sets keep one of each.
     runs = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "begins", "ends")).alias("runs"))
@@ -228,7 +283,7 @@ def repeated(docs: DataFrame, unit: Unit, match: Matcher, shard_bytes: int) -> D
         F.flatten(F.transform("runs", lambda r: F.transform(r["begins"], lambda x: x + r["at"]))).alias("begins"),
         F.flatten(F.transform("runs", lambda r: F.transform(r["ends"], lambda x: x + r["at"]))).alias("ends"),
     )
-    hit = rows.select(*KEY, "text").join(runs, KEY)
+    hit = texts.select(*KEY, "text").join(runs, KEY)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +322,9 @@ def removal(unit: Unit, text: bytes, begins: list[int], ends: list[int]) -> tupl
 CODE = ["anchor", "low", "high"]
 SNIPPET = "k1 long, k2 long, at int, anchor long, low long, high long, snippet binary"
 VERDICT = "anchor long, low long, high long, begins array<int>, ends array<int>"
-WINDOWS = "anchor long, low long, high long, j int, w_low long, w_high long, weight long"
+PROBE = (
+    "anchor long, low long, high long, part int, a int, b int, c_low long, c_high long, w_low long, w_high long, weight long"
+)
 TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
 
 
