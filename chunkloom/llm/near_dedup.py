@@ -2,7 +2,7 @@
 
 Two permutations make a whole signature: the first spreads the shingles over the circle of 32-bit numbers, the
 second ranks its points, and coordinate k ranks them after a shift by k. Texts with the same set of shingles are
-collapsed first. In each bucket of a band, members are compared with the smallest member; then, in buckets that
+collapsed first. Every text is compared with the smallest of the first members of its buckets; then, in buckets that
 still hold several components, members of different components are compared by their signatures, block against
 block inside tasks, and only pairs that agree well enough go on to exact comparison.
 """
@@ -210,10 +210,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = buckets.groupBy("first", "last", "n", "who").agg(F.min("key").alias("key"))
     members = written(keyed.join(buckets.select("key", "first", "n"), "key"), "buckets")
     involved = members.select("doc_id").distinct()
-    texts = written(rows.join(involved, "doc_id"), "texts")
+    # The same plan at every size: a small side would be broadcast, one that grows with the corpus cannot be.
+    texts = written(rows.join(involved.hint("merge"), "doc_id"), "texts")
 
-    stars = members.where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = verified(stars, texts)
+    # Each member meets the smallest first member of its buckets: one pair for a node, however large its buckets.
+    stars = members.where("doc_id > first").groupBy("doc_id").agg(F.min("first").alias("a"))
+    links = verified(stars.select("a", F.col("doc_id").alias("b")), texts)
     # Rows that share an id join the classes they belong to.
     shared = signed.join(classes.select("n_shingles", "d1", "d2", "rep"), ["n_shingles", "d1", "d2"])
     shared = shared.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
