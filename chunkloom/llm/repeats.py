@@ -164,8 +164,13 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
             for batch in batches:
                 got = []
                 for *code, part, snippet, weight in zip(*(batch.column(c).to_pylist() for c in (*CODE, "part", "snippet", "weight"))):
+                    # Equal ranges of one snippet (a word repeated on and on) are one row.
+                    equal: dict[tuple, list] = {}
                     for a, b, core, whole in ranges(unit, snippet, code[0], level, part):
-                        got.append((*code, part, a, b, *digest(core), *digest(whole), weight))
+                        equal.setdefault((*digest(core), *digest(whole)), []).append((a, b))
+                    for codes, spots in equal.items():
+                        begins, ends = [list(x) for x in zip(*spots)]
+                        got.append((*code, part, begins, ends, *codes, weight * len(spots)))
                 yield _batch(got, PROBE)
 
         rows = parts.join(hot, CODE).select(*CODE, "part", "snippet", "weight")
@@ -173,11 +178,11 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
         cores = rows.groupBy("c_low", "c_high").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
         rows = rows.join(cores, ["c_low", "c_high"])
         if level == 0:
-            found.append(rows.select(*CODE, "a", "b"))
+            found.append(rows.select(*CODE, "begins", "ends"))
             break
         wholes = rows.groupBy("w_low", "w_high").agg(F.sum("weight").alias("n"), F.min(F.struct(*CODE, "part")).alias("one"))
         wholes = wholes.where("n > 1").drop("n")
-        found.append(rows.join(wholes, ["w_low", "w_high"]).select(*CODE, "a", "b"))
+        found.append(rows.join(wholes, ["w_low", "w_high"]).select(*CODE, "begins", "ends"))
         rest = rows.join(wholes, ["w_low", "w_high"], "left_anti").select(*CODE, "part")
         # One range of each whole goes on too: others may share some of its windows only.
         going = rest.unionByName(wholes.select("one.*"))
@@ -186,8 +191,8 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    return every.groupBy(*CODE).agg(F.collect_list(F.struct("a", "b")).alias("r")).select(
-        *CODE, F.col("r.a").alias("begins"), F.col("r.b").alias("ends")
+    return every.groupBy(*CODE).agg(
+        F.flatten(F.collect_list("begins")).alias("begins"), F.flatten(F.collect_list("ends")).alias("ends")
     )
 
 
@@ -323,7 +328,8 @@ CODE = ["anchor", "low", "high"]
 SNIPPET = "k1 long, k2 long, at int, anchor long, low long, high long, snippet binary"
 VERDICT = "anchor long, low long, high long, begins array<int>, ends array<int>"
 PROBE = (
-    "anchor long, low long, high long, part int, a int, b int, c_low long, c_high long, w_low long, w_high long, weight long"
+    "anchor long, low long, high long, part int, begins array<int>, ends array<int>, "
+    "c_low long, c_high long, w_low long, w_high long, weight long"
 )
 TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
 
