@@ -2,7 +2,7 @@
 
 Two permutations make a whole signature: the first spreads the shingles over the circle of 32-bit numbers, the
 second ranks its points, and coordinate k ranks them after a shift by k. Texts with the same set of shingles are
-collapsed first. Every text is compared with the smallest of the first members of its buckets; then, in buckets that
+collapsed first. In a few rounds every text is compared with one centre of its buckets; then, in buckets that
 still hold several components, members of different components are compared by their signatures, block against
 block inside tasks, and only pairs that agree well enough go on to exact comparison.
 """
@@ -25,6 +25,7 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability
 COORDINATES = ROWS * BANDS
 AGREE = 0.58  # least share of equal coordinates of a pair worth comparing: 4.5 deviations below 0.75
 BLOCK = 512
+STARS = 3  # rounds of star pairs before the rest is compared block by block
 
 
 def _rank(x: np.ndarray) -> np.ndarray:
@@ -213,15 +214,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The same plan at every size: a small side would be broadcast, one that grows with the corpus cannot be.
     texts = written(rows.join(involved.hint("merge"), "doc_id"), "texts")
 
-    # Each member meets the smallest first member of its buckets: one pair for a node, however large its buckets.
-    stars = members.where("doc_id > first").groupBy("doc_id").agg(F.min("first").alias("a"))
-    links = verified(stars.select("a", F.col("doc_id").alias("b")), texts)
     # Rows that share an id join the classes they belong to.
     shared = signed.join(classes.select("n_shingles", "d1", "d2", "rep"), ["n_shingles", "d1", "d2"])
     shared = shared.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+    inside = members.withColumn("component", F.col("doc_id"))
+    links = None
+    for turn in range(STARS):
+        # A text meets one centre of its buckets that belong to several components: one pair for a node, however
+        # large its buckets. Centres change from round to round.
+        order = F.xxhash64("doc_id", F.lit(turn))
+        centres = inside.groupBy("key").agg(
+            F.min(F.struct(order.alias("h"), F.col("doc_id").alias("a"), F.col("component").alias("ca"))).alias("c"),
+            F.min("component").alias("x"), F.max("component").alias("y"),
+        ).where("x < y").select("key", "c.*")
+        stars = inside.join(centres, "key").where("component != ca").groupBy("doc_id").agg(F.min(F.struct("h", "a")).alias("c"))
+        stars = stars.select(F.least("c.a", "doc_id").alias("a"), F.greatest("c.a", "doc_id").alias("b")).distinct()
+        found = verified(stars, texts)
+        links = found if links is None else links.unionByName(found)
+        joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+        inside = members.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        inside = written(inside, "inside")
 
-    inside = members.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     low = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "low")
     rest = inside.join(mixed.select("key"), "key").join(low, "doc_id")
