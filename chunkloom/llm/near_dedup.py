@@ -4,7 +4,8 @@ Two permutations make a whole signature: the first spreads the shingles over the
 second ranks its points, and coordinate k ranks them after a shift by k. Texts with the same set of shingles are
 collapsed first. In a few rounds every text is compared with one centre of its buckets; then, in buckets that
 still hold several components, members of different components are compared by their signatures, block against
-block inside tasks, and only pairs that agree well enough go on to exact comparison.
+block inside tasks. First only the pairs of each text with those it agrees with most go on to exact comparison;
+in the end all pairs that are still in different components and agree well enough.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, chunks, grams, mix, text_bytes, with_columns_renamed, words_of, written
@@ -25,7 +26,9 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability
 COORDINATES = ROWS * BANDS
 AGREE = 0.58  # least share of equal coordinates of a pair worth comparing: 4.5 deviations below 0.75
 BLOCK = 512
-STARS = 3  # rounds of star pairs before the rest is compared block by block
+STARS = 2  # rounds of star pairs
+NEAREST = 2  # rounds of pairs with the texts that agree most, before all others that may be similar are compared
+PARTNERS = 4  # of a text in such a round; what they leave is compared afterwards
 
 
 def _rank(x: np.ndarray) -> np.ndarray:
@@ -145,48 +148,85 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_compare, "a long, b long").distinct(), "links")
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, i, j): pairs of different components whose signatures agree well enough."""
-    group: list[tuple] = []
-    now = None
-    found: list[tuple[int, int]] = []
-
-    def finish() -> None:
-        ids = np.array([g[0] for g in group])
-        comp = np.array([g[1] for g in group])
-        size = np.array([g[2] for g in group])
-        block = np.array([g[3] for g in group])
-        low = np.frombuffer(b"".join(g[4] for g in group), np.uint8).reshape(len(group), COORDINATES)
-        across = now[1] != now[2]
-        for x in range(len(group) - 1):
-            rest = slice(x + 1, None)
-            ok = (comp[rest] != comp[x]) & (ids[rest] != ids[x])
-            ok &= np.minimum(size[rest], size[x]) * 100 >= np.maximum(size[rest], size[x]) * PERCENT
-            if across:
-                ok &= block[rest] != block[x]
-            at = np.flatnonzero(ok) + x + 1
-            if len(at):
-                agree = (low[at] == low[x]).sum(1)
-                for y in at[agree >= AGREE * COORDINATES].tolist():
-                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
-
-    def flush() -> pa.RecordBatch:
-        told = sorted(set(found))
-        found.clear()
-        return pa.RecordBatch.from_arrays([pa.array([int(t[k]) for t in told], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "doc_id", "component", "n_shingles", "block", "low")]
-        for key, i, j, *row in zip(*cols):
-            if (key, i, j) != now:
-                if group:
-                    finish()
-                group, now = [], (key, i, j)
-            group.append(row)
-        yield flush()
-    if group:
-        finish()
-        yield flush()
+def _cross(partners: int | None):
+    """A function over rows sorted by (bucket, i, j) that gives pairs of different components whose signatures agree
+    well enough: all of them, or for each row those with the ``partners`` rows that it agrees with most."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        now = None
+        found: dict[tuple[int, int], int] = {}
+
+        def finish() -> None:
+            ids = np.array([g[0] for g in group])
+            comp = np.array([g[1] for g in group])
+            size = np.array([g[2] for g in group])
+            block = np.array([g[3] for g in group])
+            low = np.frombuffer(b"".join(g[4] for g in group), np.uint8).reshape(len(group), COORDINATES)
+            across = now[1] != now[2]
+            least = int(np.ceil(AGREE * COORDINATES))
+            agree = np.zeros((len(group), len(group)), np.uint8)
+            for x in range(len(group) - 1):
+                rest = slice(x + 1, None)
+                ok = (comp[rest] != comp[x]) & (ids[rest] != ids[x])
+                ok &= np.minimum(size[rest], size[x]) * 100 >= np.maximum(size[rest], size[x]) * PERCENT
+                if across:
+                    ok &= block[rest] != block[x]
+                at = np.flatnonzero(ok) + x + 1
+                agree[x, at] = (low[at] == low[x]).sum(1)
+            if partners is None:
+                left, right = np.nonzero(agree >= least)
+            else:
+                agree = np.maximum(agree, agree.T)
+                most = np.argsort(agree, axis=1, kind="stable")[:, -partners:]
+                left = np.repeat(np.arange(len(group)), most.shape[1])
+                right = most.ravel()
+                enough = agree[left, right] >= least
+                left, right = left[enough], right[enough]
+            for x, y, n in zip(ids[left].tolist(), ids[right].tolist(), agree[left, right].tolist()):
+                found[(x, y) if partners else (min(x, y), max(x, y))] = n
+
+        def flush() -> pa.RecordBatch:
+            told = [(x, y, n) for (x, y), n in found.items()]
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array([t[k] for t in told], pa.int64()) for k in range(3)], ["a", "b", "agree"])
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "doc_id", "component", "n_shingles", "block", "low")]
+            for key, i, j, *row in zip(*cols):
+                if (key, i, j) != now:
+                    if group:
+                        finish()
+                    group, now = [], (key, i, j)
+                group.append(row)
+            yield flush()
+        if group:
+            finish()
+            yield flush()
+
+    return compare
+
+
+def _across(inside: DataFrame, classes: DataFrame, partners: int | None) -> DataFrame:
+    """Pairs (a, b) across components in buckets that hold several, compared by signature block against block."""
+    mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    low = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "low")
+    rest = inside.join(mixed.select("key"), "key").join(low, "doc_id")
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), count).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    rest = rest.select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "doc_id", "component", "n_shingles", "block", "low",
+    )
+    rest = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = rest.mapInArrow(_cross(partners), "a long, b long, agree long")
+    if partners is not None:
+        # The best over all buckets and blocks; a row has at most ``partners`` for each block it meets.
+        order = Window.partitionBy("a").orderBy(F.desc("agree"), F.xxhash64("a", "b"), "b")
+        pairs = pairs.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= partners)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return written(pairs.distinct(), "pairs")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -219,35 +259,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = shared.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     inside = members.withColumn("component", F.col("doc_id"))
     links = None
-    for turn in range(STARS):
-        # A text meets one centre of its buckets that belong to several components: one pair for a node, however
-        # large its buckets. Centres change from round to round.
-        order = F.xxhash64("doc_id", F.lit(turn))
-        centres = inside.groupBy("key").agg(
-            F.min(F.struct(order.alias("h"), F.col("doc_id").alias("a"), F.col("component").alias("ca"))).alias("c"),
-            F.min("component").alias("x"), F.max("component").alias("y"),
-        ).where("x < y").select("key", "c.*")
-        stars = inside.join(centres, "key").where("component != ca").groupBy("doc_id").agg(F.min(F.struct("h", "a")).alias("c"))
-        stars = stars.select(F.least("c.a", "doc_id").alias("a"), F.greatest("c.a", "doc_id").alias("b")).distinct()
+    for turn in range(STARS + NEAREST):
+        if turn < STARS:
+            # A text meets one centre of its buckets that belong to several components: one pair for a node, however
+            # large its buckets. Centres change from round to round.
+            order = F.xxhash64("doc_id", F.lit(turn))
+            centres = inside.groupBy("key").agg(
+                F.min(F.struct(order.alias("h"), F.col("doc_id").alias("a"), F.col("component").alias("ca"))).alias("c"),
+                F.min("component").alias("x"), F.max("component").alias("y"),
+            ).where("x < y").select("key", "c.*")
+            stars = inside.join(centres, "key").where("component != ca").groupBy("doc_id").agg(F.min(F.struct("h", "a")).alias("c"))
+            stars = stars.select(F.least("c.a", "doc_id").alias("a"), F.greatest("c.a", "doc_id").alias("b")).distinct()
+        else:
+            # Texts that agree most are the likeliest links: a few pairs for a node join most of what stars left.
+            stars = _across(inside, classes, PARTNERS)
         found = verified(stars, texts)
         links = found if links is None else links.unionByName(found)
         joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
         inside = members.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         inside = written(inside, "inside")
 
-    mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    low = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "low")
-    rest = inside.join(mixed.select("key"), "key").join(low, "doc_id")
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), count).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-    rest = rest.select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "doc_id", "component", "n_shingles", "block", "low",
-    )
-    rest = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    pairs = written(rest.mapInArrow(_cross, "a long, b long").distinct(), "pairs")
-    more = verified(pairs, texts)
+    more = verified(_across(inside, classes, None), texts)
 
     final = components(links.unionByName(more).unionByName(shared), "a", "b")
     out = signed.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
