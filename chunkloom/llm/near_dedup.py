@@ -27,7 +27,7 @@ COORDINATES = ROWS * BANDS
 AGREE = 0.58  # least share of equal coordinates of a pair worth comparing: 4.5 deviations below 0.75
 BLOCK = 512
 STARS = 2  # rounds of star pairs
-NEAREST = 2  # rounds of pairs with the texts that agree most, before all others that may be similar are compared
+NEAREST = 3  # rounds of pairs with the texts that agree most, before all others that may be similar are compared
 PARTNERS = 4  # of a text in such a round; what they leave is compared afterwards
 
 
@@ -272,7 +272,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             stars = stars.select(F.least("c.a", "doc_id").alias("a"), F.greatest("c.a", "doc_id").alias("b")).distinct()
         else:
             # Texts that agree most are the likeliest links: a few pairs for a node join most of what stars left.
-            stars = _across(inside, classes, PARTNERS)
+            # A text takes part in one of its buckets; similar texts have most buckets in common and choose alike.
+            mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+            one = inside.join(mixed.select("key"), "key").groupBy("doc_id").agg(F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("key"))
+            few = inside.drop("n").join(one, ["doc_id", "key"])
+            sizes = few.groupBy("key").agg(F.count("*").alias("n"))
+            stars = _across(few.join(sizes, "key"), classes, PARTNERS)
         found = verified(stars, texts)
         links = found if links is None else links.unionByName(found)
         joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
