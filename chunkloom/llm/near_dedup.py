@@ -2,10 +2,10 @@
 
 Two permutations make a whole signature: the first spreads the shingles over the circle of 32-bit numbers, the
 second ranks its points, and coordinate k ranks them after a shift by k. Texts with the same set of shingles are
-collapsed first. In a few rounds every text is compared with one centre of its buckets; then, in buckets that
-still hold several components, members of different components are compared by their signatures, block against
-block inside tasks. First only the pairs of each text with those it agrees with most go on to exact comparison;
-in the end all pairs that are still in different components and agree well enough.
+collapsed first. Every text is compared with two centres of its buckets: the one that shares most buckets with
+others, which in a large group is the text that the others are copies of, and the centre of its smallest bucket.
+Then, in buckets that still hold several components, members of different components are compared block against
+block inside tasks: by their signatures, and where these agree well enough by their full sets.
 """
 
 from __future__ import annotations
@@ -25,10 +25,9 @@ PERCENT = 75
 ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability 5e-6
 COORDINATES = ROWS * BANDS
 AGREE = 0.58  # least share of equal coordinates of a pair worth comparing: 4.5 deviations below 0.75
-BLOCK = 512
-STARS = 2  # rounds of star pairs
-NEAREST = 3  # rounds of pairs with the texts that agree most, before all others that may be similar are compared
-PARTNERS = 4  # of a text in such a round; what they leave is compared afterwards
+PART = 128  # pairs of one text that are compared in one group
+BLOCK = 1024  # texts of a bucket in one block, and their shingles
+BLOCK_SHINGLES = 1 << 20
 
 
 def _rank(x: np.ndarray) -> np.ndarray:
@@ -76,7 +75,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, low binary"
+SIGNED = "doc_id long, h long, n_shingles long, d1 long, d2 long, bands array<long>, low binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +95,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(a, b - a),
+                    batch.column("h").slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(low, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "bands", "low"],
+                ["doc_id", "h", "n_shingles", "d1", "d2", "bands", "low"],
             )
 
 
@@ -137,7 +137,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     The pairs of one a are dealt in parts, each with a's own text, so that no part holds many rows.
     """
     parts = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    parts = parts.select("a", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    parts = parts.select("a", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     own = parts.join(texts, F.col("a") == F.col("doc_id")).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text"
     )
@@ -148,85 +148,81 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_compare, "a long, b long").distinct(), "links")
 
 
-def _cross(partners: int | None):
-    """A function over rows sorted by (bucket, i, j) that gives pairs of different components whose signatures agree
-    well enough: all of them, or for each row those with the ``partners`` rows that it agrees with most."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        now = None
-        found: dict[tuple[int, int], int] = {}
-
-        def finish() -> None:
-            ids = np.array([g[0] for g in group])
-            comp = np.array([g[1] for g in group])
-            size = np.array([g[2] for g in group])
-            block = np.array([g[3] for g in group])
-            low = np.frombuffer(b"".join(g[4] for g in group), np.uint8).reshape(len(group), COORDINATES)
-            across = now[1] != now[2]
-            least = int(np.ceil(AGREE * COORDINATES))
-            agree = np.zeros((len(group), len(group)), np.uint8)
-            for x in range(len(group) - 1):
-                rest = slice(x + 1, None)
-                ok = (comp[rest] != comp[x]) & (ids[rest] != ids[x])
-                ok &= np.minimum(size[rest], size[x]) * 100 >= np.maximum(size[rest], size[x]) * PERCENT
-                if across:
-                    ok &= block[rest] != block[x]
-                at = np.flatnonzero(ok) + x + 1
-                agree[x, at] = (low[at] == low[x]).sum(1)
-            if partners is None:
-                left, right = np.nonzero(agree >= least)
-            else:
-                agree = np.maximum(agree, agree.T)
-                most = np.argsort(agree, axis=1, kind="stable")[:, -partners:]
-                left = np.repeat(np.arange(len(group)), most.shape[1])
-                right = most.ravel()
-                enough = agree[left, right] >= least
-                left, right = left[enough], right[enough]
-            for x, y, n in zip(ids[left].tolist(), ids[right].tolist(), agree[left, right].tolist()):
-                found[(x, y) if partners else (min(x, y), max(x, y))] = n
-
-        def flush() -> pa.RecordBatch:
-            told = [(x, y, n) for (x, y), n in found.items()]
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array([t[k] for t in told], pa.int64()) for k in range(3)], ["a", "b", "agree"])
-
-        for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "doc_id", "component", "n_shingles", "block", "low")]
-            for key, i, j, *row in zip(*cols):
-                if (key, i, j) != now:
-                    if group:
-                        finish()
-                    group, now = [], (key, i, j)
-                group.append(row)
-            yield flush()
-        if group:
-            finish()
-            yield flush()
-
-    return compare
-
-
-def _across(inside: DataFrame, classes: DataFrame, partners: int | None) -> DataFrame:
-    """Pairs (a, b) across components in buckets that hold several, compared by signature block against block."""
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, i, j), two blocks of a bucket each: links that join different components.
+
+    Signatures choose the pairs, full sets decide them. A link is given once for two components that it joins, so a
+    group of rows has fewer links than rows.
+    """
+    group: list[tuple] = []
+    now = None
+    found: list[tuple[int, int]] = []
+
+    def finish() -> None:
+        texts = [g[4] for g in group]
+        sets = [s for a, b in chunks(texts) for s in shingle_sets(texts[a:b])]
+        ids, comp, block = (np.array([g[k] for g in group]) for k in range(3))
+        low = np.frombuffer(b"".join(g[3] for g in group), np.uint8).reshape(len(group), COORDINATES)
+        size = np.array([len(s) for s in sets])
+        ends = np.cumsum(size)
+        known, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        numbers = np.split(numbers, ends[:-1])
+        mine = np.zeros(len(known), np.int64)
+        least = int(np.ceil(AGREE * COORDINATES))
+        for x in range(len(group) - 1):
+            rest = slice(x + 1, None)
+            ok = (comp[rest] != comp[x]) & (ids[rest] != ids[x])
+            ok &= np.minimum(size[rest], size[x]) * 100 >= np.maximum(size[rest], size[x]) * PERCENT
+            if now[1] != now[2]:
+                ok &= block[rest] != block[x]
+            at = np.flatnonzero(ok) + x + 1
+            at = at[(low[at] == low[x]).sum(1) >= least]
+            if not len(at):
+                continue
+            mine[numbers[x]] = 1
+            both = np.add.reduceat(mine[np.concatenate([numbers[y] for y in at])], np.cumsum(size[at]) - size[at])
+            mine[numbers[x]] = 0
+            for y in at[100 * both >= PERCENT * (size[at] + size[x] - both)].tolist():
+                if comp[y] != comp[x]:
+                    comp[comp == comp[y]] = comp[x]
+                    found.append((int(ids[x]), int(ids[y])))
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], ["a", "b"])
+        found.clear()
+        return out
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "doc_id", "component", "block", "low")]
+        for key, i, j, *row in zip(*cols, text_bytes(batch.column("text"))):
+            if (key, i, j) != now:
+                if group:
+                    finish()
+                group, now = [], (key, i, j)
+            group.append(row)
+        yield flush()
+    if group:
+        finish()
+        yield flush()
+
+
+def settled(inside: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) across components in buckets that hold several, each bucket compared block against block.
+
+    A text travels once for each block its own meets in a bucket, not once for each pair.
+    """
     mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    low = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "low")
-    rest = inside.join(mixed.select("key"), "key").join(low, "doc_id")
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    whole = texts.join(classes.select("doc_id", "h", "low"), ["doc_id", "h"])
+    rest = inside.join(mixed.select("key"), "key").join(whole, ["doc_id", "h"])
+    count = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), count).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
     rest = rest.select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "doc_id", "component", "n_shingles", "block", "low",
+        "doc_id", "component", "block", "low", "text",
     )
     rest = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    pairs = rest.mapInArrow(_cross(partners), "a long, b long, agree long")
-    if partners is not None:
-        # The best over all buckets and blocks; a row has at most ``partners`` for each block it meets.
-        order = Window.partitionBy("a").orderBy(F.desc("agree"), F.xxhash64("a", "b"), "b")
-        pairs = pairs.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= partners)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(pairs.distinct(), "pairs")
+    return written(rest.mapInArrow(_settle, "a long, b long").distinct(), "settled")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -236,56 +232,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the links of each; rows without id stay alone with a null component and are kept; exact copies are collapsed
     before pairs are made and come back by membership. Further columns are ignored; an empty table gives no rows.
     """
-    rows = with_columns_renamed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = with_columns_renamed(docs, "doc_id", "text")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     signed = written(rows.mapInArrow(_sign, SIGNED), "signatures")
     sets = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "d1", "d2")
-    classes = sets.agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("low").alias("low"))
+    # One row stands for all with its set; ids may repeat, so the hash of its text tells which row it is.
+    classes = sets.agg(
+        F.min(F.struct("doc_id", "h")).alias("rep"), F.any_value("bands").alias("bands"), F.any_value("low").alias("low")
+    ).select("n_shingles", "d1", "d2", "rep.*", "bands", "low")
     classes = written(classes, "classes")
 
-    keyed = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("doc_id"))
+    keyed = classes.select(F.explode("bands").alias("key"), "doc_id", "h", "n_shingles")
     buckets = keyed.groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-        F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("who"),
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum("n_shingles").alias("total"),
+        F.count("*").alias("n"), F.sum(F.xxhash64("doc_id", "h").cast("decimal(38,0)")).alias("who"),
     ).where("first < last")
     # Buckets of several bands that hold the same members count once.
-    buckets = buckets.groupBy("first", "last", "n", "who").agg(F.min("key").alias("key"))
-    members = written(keyed.join(buckets.select("key", "first", "n"), "key"), "buckets")
+    buckets = buckets.groupBy("first", "last", "n", "total", "who").agg(F.min("key").alias("key"), F.count("*").alias("bands"))
+    members = written(keyed.drop("n_shingles").join(buckets.select("key", "n", "total", "bands"), "key"), "buckets")
     involved = members.select("doc_id").distinct()
     # The same plan at every size: a small side would be broadcast, one that grows with the corpus cannot be.
     texts = written(rows.join(involved.hint("merge"), "doc_id"), "texts")
 
     # Rows that share an id join the classes they belong to.
-    shared = signed.join(classes.select("n_shingles", "d1", "d2", "rep"), ["n_shingles", "d1", "d2"])
+    shared = signed.join(classes.select("n_shingles", "d1", "d2", F.col("doc_id").alias("rep")), ["n_shingles", "d1", "d2"])
     shared = shared.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    inside = members.withColumn("component", F.col("doc_id"))
-    links = None
-    for turn in range(STARS + NEAREST):
-        if turn < STARS:
-            # A text meets one centre of its buckets that belong to several components: one pair for a node, however
-            # large its buckets. Centres change from round to round.
-            order = F.xxhash64("doc_id", F.lit(turn))
-            centres = inside.groupBy("key").agg(
-                F.min(F.struct(order.alias("h"), F.col("doc_id").alias("a"), F.col("component").alias("ca"))).alias("c"),
-                F.min("component").alias("x"), F.max("component").alias("y"),
-            ).where("x < y").select("key", "c.*")
-            stars = inside.join(centres, "key").where("component != ca").groupBy("doc_id").agg(F.min(F.struct("h", "a")).alias("c"))
-            stars = stars.select(F.least("c.a", "doc_id").alias("a"), F.greatest("c.a", "doc_id").alias("b")).distinct()
-        else:
-            # Texts that agree most are the likeliest links: a few pairs for a node join most of what stars left.
-            # A text takes part in one of its buckets; similar texts have most buckets in common and choose alike.
-            mixed = inside.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-            one = inside.join(mixed.select("key"), "key").groupBy("doc_id").agg(F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("key"))
-            few = inside.drop("n").join(one, ["doc_id", "key"])
-            sizes = few.groupBy("key").agg(F.count("*").alias("n"))
-            stars = _across(few.join(sizes, "key"), classes, PARTNERS)
-        found = verified(stars, texts)
-        links = found if links is None else links.unionByName(found)
-        joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
-        inside = members.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        inside = written(inside, "inside")
-
-    more = verified(_across(inside, classes, None), texts)
 
+    # How many texts a text meets in all its buckets; a text has at most one bucket for each band.
+    meets = F.sum(F.col("n") * F.col("bands")).over(Window.partitionBy("doc_id"))
+    centres = members.withColumn("meets", meets).groupBy("key").agg(F.max(F.struct("meets", F.col("doc_id").alias("a"))).alias("c"))
+    near = members.join(centres.select("key", "c.*"), "key").where("doc_id != a").groupBy("doc_id")
+    near = near.agg(F.max(F.struct("meets", "a")).alias("most"), F.max(F.struct(-F.col("n"), "meets", "a")).alias("close"))
+    stars = near.select(F.explode(F.array("most.a", "close.a")).alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = verified(stars, texts)
+    joined = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+    inside = members.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+    more = settled(written(inside, "inside"), classes, texts)
     final = components(links.unionByName(more).unionByName(shared), "a", "b")
     out = signed.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
