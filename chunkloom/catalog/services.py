@@ -146,7 +146,7 @@ def domain_knowledge_base(spark, sf):
     docs = table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("artifact_uuid"), "lang"
     )
-    _, _, manifests, _ = domains.build_knowledge_base(chunks, docs, _shape_embedder, dims=3)
+    _, _, manifests, _, _ = domains.build_knowledge_base(chunks, docs, _shape_embedder, dims=3)
     entries = records.manifest_entries(manifests)
     return entries.join(manifests.select("doc_id", "chunk_count", "lang"), "doc_id")
 

@@ -251,12 +251,13 @@ def split_table(html: str, limit: int, count) -> list[str]:
 
 
 def cut_to_size(html: str, limit: int, count) -> list[str]:
+    """Parts of a table below ``limit`` tokens; a table whose rows cannot be read stays whole."""
     if count(html) < limit:
         return [html] if html else []
     try:
         return split_table(html, limit, count)
     except (ValueError, IndexError):
-        return []
+        return [html]
 
 
 def extract_tables(text: Column) -> Column:

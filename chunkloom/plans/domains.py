@@ -15,6 +15,7 @@ from ..operators import enrich
 from ..operators.filters import blank_to_null_dropna, drop_empty_chunks, drop_last_chunk
 from ..operators.merging import HIGH, LOW, chunk_id, merge_small_chunks
 from ..operators.segments import concat_ordered
+from ..session import cut_lineage
 from ..sinks import records
 
 
@@ -213,18 +214,21 @@ def build_knowledge_base(
     parser_version: str = "1",
     model: str = "default",
     part_chunks: int = 10_000,
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Artefacts of parsed documents: file parts, manifest entries, manifests and failed chunks.
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Artefacts of parsed documents: file parts, manifest entries, manifests, failed chunks and vectors.
 
     ``docs``: doc_id, artifact_uuid and the fields the manifest shows. Blank chunks are dropped, the
     others embedded and written as JSON lines without their vectors. A file holds the lines of
     ``part_chunks`` positions, so no document has to fit one task; documents that are not longer have
-    one file, named after the artefact.
+    one file, named after the artefact. A document with a failed chunk has no artefacts and no vectors.
+    The service is asked here, once for each chunk; all results are derived from its stored answers.
     """
     kept = drop_empty_chunks(chunks)
-    embedded = enrich.embed_chunks(kept, make_client, dims, batch)
+    embedded = cut_lineage(enrich.embed_chunks(kept, make_client, dims, batch))
     errors = embedded.filter(F.col("error").isNotNull()).select("doc_id", "pos", "error")
-    lines = records.chunk_jsonl(embedded.drop("error"))
+    embedded = embedded.join(errors.select("doc_id").distinct(), "doc_id", "left_anti").drop("error")
+    vectors = embedded.select("doc_id", "pos", "embedding")
+    lines = records.chunk_jsonl(embedded)
     lines = lines.withColumns(
         {"line": F.concat("line", F.lit("\n")), "part": F.expr(f"pos div {part_chunks}")}
     )
@@ -249,4 +253,4 @@ def build_knowledge_base(
     manifests = records.build_manifest(
         entries, docs.join(counts, "doc_id"), parser_profile, parser_version, embedding
     )
-    return named.select("doc_id", "part", "name", "content"), entries, manifests, errors
+    return named.select("doc_id", "part", "name", "content"), entries, manifests, errors, vectors

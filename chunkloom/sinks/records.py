@@ -91,21 +91,26 @@ def build_manifest(
 ) -> DataFrame:
     """One manifest per document with maps of names, sizes and digests keyed by role.
 
-    The roles are a fixed list, so each is a plain aggregate that combines before the shuffle; repeats
-    of a role keep the greatest name.
+    The usual roles are a fixed list, so each is a plain aggregate that combines before the shuffle; other
+    roles (further parts of a file) follow in order. Repeats of a role keep the greatest name.
     """
+    entry = F.struct("name", "size", "sha256")
+    further = F.when(~F.col("role").isin(roles), F.struct(F.col("role").alias("k"), entry.alias("v")))
     per_role = entries.groupBy("doc_id").agg(
         *[
-            F.max(F.when(F.col("role") == r, F.struct("name", "size", "sha256"))).alias(f"_r{i}")
+            F.max(F.when(F.col("role") == r, entry)).alias(f"_r{i}")
             for i, r in enumerate(roles)
-        ]
+        ],
+        F.sort_array(F.collect_set(further)).alias("_further"),
     )
+    last = F.expr("filter(_further, (e, i) -> i = size(_further) - 1 or _further[i + 1].k != e.k)")
 
     def by_role(field: str) -> Column:
         pairs = F.array(
             *[F.struct(F.lit(r).alias("k"), F.col(f"_r{i}.{field}").alias("v")) for i, r in enumerate(roles)]
         )
-        return F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
+        more = F.transform(last, lambda e: F.struct(e["k"].alias("k"), e["v"][field].alias("v")))
+        return F.map_from_entries(F.filter(F.concat(pairs, more), lambda p: p["v"].isNotNull()))
 
     manifest = docs.join(per_role, "doc_id").select(
         *docs.columns,

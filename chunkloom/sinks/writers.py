@@ -92,7 +92,9 @@ def read_vectors(spark: SparkSession, path: str, order: str = "written_at") -> D
 def clear_namespace(spark: SparkSession, path: str, namespace: str) -> None:
     """Empty one namespace by overwriting its partition folder; the others are not touched."""
     rows = spark.read.parquet(path)
-    rows.drop("namespace").limit(0).write.mode("overwrite").parquet(f"{path}/namespace={namespace}")
+    # Folders of partitions carry escaped names.
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(namespace)
+    rows.drop("namespace").limit(0).write.mode("overwrite").parquet(f"{path}/namespace={folder}")
 
 
 def write_shards(df: DataFrame, path: str, n: int, policy: str, *order: Column | str) -> None:

@@ -400,3 +400,41 @@ def test_timeouts_on_a_stream(spark, tmp_path):
     run.awaitTermination()
     got = documents.current_rows(spark, str(tmp_path / "out")).select("task_id", "problem")
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_knowledge_base_keeps_all_parts_and_no_failed_document(spark):
+    def make_client():
+        def call(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("refused")
+            return [{"index": i, "embedding": [1.0, 2.0, 2.0]} for i in range(len(texts))]
+
+        return call
+
+    rows = [(d, p, f"{d} text {p}" if (d, p) != ("b", 4) else "bad", 1) for d in "ab" for p in range(12)]
+    chunks = spark.createDataFrame(rows, "doc_id string, pos int, text string, page_number int")
+    docs = spark.createDataFrame([("a", "u"), ("b", "v")], "doc_id string, artifact_uuid string")
+    files, entries, manifests, errors, vectors = domains.build_knowledge_base(
+        chunks, docs, make_client, dims=2, batch=1, part_chunks=5
+    )
+    (manifest,) = manifests.collect()
+    assert manifest["artifacts"] == {
+        "chunks_jsonl": "u.jsonl", "chunks_jsonl.1": "u.1.jsonl", "chunks_jsonl.2": "u.2.jsonl"
+    }
+    assert sum(manifest["size_bytes"].values()) == sum(len(r["content"].encode()) for r in files.collect())
+    assert entries.count() == 3 and {r["doc_id"] for r in errors.collect()} == {"b"}
+    got = {(r["doc_id"], r["pos"], tuple(round(v, 5) for v in r["embedding"])) for r in vectors.collect()}
+    assert got == {("a", p, (0.44721, 0.89443)) for p in range(12)}
+
+
+def test_clear_namespace_with_escaped_characters(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    rows = [("a:b", "1", 1), ("c", "2", 1)]
+    writers.write_vectors(spark.createDataFrame(rows, "namespace string, id string, written_at int"), path)
+    writers.clear_namespace(spark, path, "a:b")
+    assert [r["namespace"] for r in spark.read.parquet(path).collect()] == ["c"]
+
+
+def test_table_that_cannot_be_read_stays_whole():
+    broken = "<table></table>"
+    assert tables.cut_to_size(broken, 0, len) == [broken]
