@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import checks, filters, sections
+from ..operators.segments import concat_ordered
 from ..sources.markup import html_to_elements as to_elements
 from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, longest_text, query, table
 
@@ -91,6 +92,42 @@ def chunk_by_title_tables(spark, sf):
     return sections.chunk_by_title(elements, "sci_pdf").select(*_OUT)
 
 
+@query(
+    f"""WITH r AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i,
+    unnest(string_split(text, chr(10))) AS line FROM documents),
+t AS (SELECT doc_id, string_agg((i - 1) || ' ' || line, chr(10) ORDER BY i) AS rows FROM r GROUP BY doc_id)
+SELECT doc_id, len('row line' || chr(10) || rows) > 4096 AS cut, true AS fits, true AS headed,
+  translate('row line' || rows, {SPACE}, '') AS text, translate(rows, {SPACE}, '') AS cells FROM t"""
+)
+def chunk_by_title_long_tables(spark, sf):
+    """The lines of a document as the rows of one table: all cells and all text, as found in the pieces."""
+    blank = "".join(tx.WHITESPACE)
+    line = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    row = F.struct(
+        "pos",
+        F.concat_ws(" ", F.col("pos").cast("string"), "text").alias("text"),
+        F.concat(F.lit("<tr><td>"), F.col("pos").cast("string"), F.lit("</td><td>"), line, F.lit("</td></tr>")).alias("html"),
+    )
+    rows = document_elements(spark, sf).groupBy("doc_id").agg(F.sort_array(F.collect_list(row)).alias("r"))
+    elements = rows.select(
+        "doc_id", F.lit(0).cast("long").alias("pos"), F.lit("Table").alias("category"), F.lit(1).alias("page_number"),
+        F.concat(F.lit("row line\n"), F.array_join("r.text", "\n")).alias("text"),
+        F.concat(F.lit("<table><tr><th>row</th><th>line</th></tr>"), F.array_join("r.html", ""), F.lit("</table>")).alias("html"),
+    )
+    pieces = sections.chunk_by_title(elements, "sci_pdf")
+    cells = F.array_join(F.regexp_extract_all("html", F.lit("<td>([^<]*)</td>"), F.lit(1)), "")
+    cells = F.replace(F.replace(F.replace(cells, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+    pieces = pieces.withColumns({"cells": F.translate(cells, blank, ""), "text_": F.translate("text", blank, "")})
+    return pieces.groupBy("doc_id").agg(
+        (F.count("*") > 1).alias("cut"),
+        F.bool_and(F.length("text") <= 4096).alias("fits"),
+        F.bool_and(F.coalesce(F.contains("html", F.lit("<tr><th>row</th><th>line</th></tr>")), F.lit(False))).alias("headed"),
+        concat_ordered("text_", ["sub"]).alias("text"),
+        concat_ordered("cells", ["sub"]).alias("cells"),
+    )
+
+
 _FURNITURE = "CASE WHEN starts_with(text, 'The ') THEN 'Header' WHEN len(text) < 60 THEN 'Footer' ELSE category END"
 
 

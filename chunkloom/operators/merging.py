@@ -117,8 +117,9 @@ def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text", lon
     Input ``doc_id, pos, kind, text, html, page_number``; a row of kind ``Table`` joins the previous row
     and takes over its page, anything else starts a row. Tables before the first text row form one row.
     ``null_html``: ``text`` falls back to the table's text, ``skip`` leaves such tables out, ``both``
-    writes text and html.
+    writes text and html. Rows of one position are taken in the order of ``sub``, if there is one.
     """
+    ties = ["sub"] if "sub" in rows.columns else []
     is_table = F.col("kind") == "Table"
     if null_html == "skip":
         rows = rows.filter(~is_table | F.col("html").isNotNull())
@@ -130,12 +131,12 @@ def attach_tables(rows: DataFrame, sep: str = "\n", null_html: str = "text", lon
         rows.withColumn("_piece", F.when(is_table, table_text).otherwise(F.col("text"))),
         "doc_id",
         "pos",
-        {"_grp": Running("count", ~is_table)}, longest=longest)
+        {"_grp": Running("count", ~is_table)}, tuple(ties), longest=longest)
     return (
         grouped.groupBy("doc_id", "_grp")
         .agg(
             F.min("pos").alias("pos"),
-            concat_ordered("_piece", ["pos"], sep).alias("text"),
+            concat_ordered("_piece", ["pos", *ties], sep).alias("text"),
             F.min_by("page_number", "pos").alias("page_number"),
         )
         .select("doc_id", "pos", "text", "page_number")

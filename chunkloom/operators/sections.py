@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from .segments import BLOCK_ROWS, Running, concat_ordered, scan
+from .tables import cut_table
 
 
 @dataclass(frozen=True)
@@ -242,9 +243,13 @@ def _pack(profile: Profile):
                     close()
                     length, start = 0, -1
                     kind = "Table" if table else "Composite"
-                    pieces = _cut(text, hard)
-                    whole = html if len(pieces) == 1 else None
-                    out.extend((doc, blk, pos, i, kind, p, number, whole) for i, p in enumerate(pieces))
+                    if n <= hard:
+                        pieces = [(text, html)]
+                    elif table:
+                        pieces = cut_table(text, html, hard, _cut)
+                    else:
+                        pieces = [(p, None) for p in _cut(text, hard)]
+                    out.extend((doc, blk, pos, i, kind, p, number, own) for i, (p, own) in enumerate(pieces))
                     continue
                 if length == 0 or length + len(SEP) + n > hard or (title and length >= under):
                     close()
@@ -275,7 +280,8 @@ def chunk_by_title(
     page_number, html`` with kind ``Composite`` or ``Table``. The elements of a chunk are joined by a
     blank line. An open chunk closes when it has reached ``new_after`` characters, when the next
     element would take it beyond ``max_chars``, or when a title comes and it has ``combine_under``
-    characters. Tables stand alone; an element longer than ``max_chars`` is cut at spaces.
+    characters. Tables stand alone; an element longer than ``max_chars`` is cut at spaces, a table with
+    markup between rows, each piece with markup of its own and the header repeated.
 
     Packing depends on everything before it in the document, yet no task gets a whole document: the
     length of the open chunk is the only state, so each block of elements is first summarised as a map

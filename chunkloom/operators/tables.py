@@ -260,6 +260,213 @@ def cut_to_size(html: str, limit: int, count) -> list[str]:
         return [html]
 
 
+# ---------------------------------------------------------------- tables cut with their own markup
+
+
+class _Cell:
+    def __init__(self, tag: str, opening: str, begin: int, spans: dict):
+        self.tag, self.opening, self.begin, self.inner, self.text = tag, opening, begin, "", ""
+        self.colspan, self.rowspan = (
+            int(v) if (v := (spans.get(k) or "1").strip()).isdecimal() and int(v) else 1 for k in ("colspan", "rowspan")
+        )
+
+    def written(self, inner: str) -> str:
+        opening = self.opening
+        if self.rowspan > 1:
+            opening = re.sub(r"""\srowspan\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", opening, flags=re.IGNORECASE)
+        return f"{opening}{inner}</{self.tag}>"
+
+
+class _MarkupReader(HTMLParser):
+    """Rows ``(section, cells)`` of the outermost tables; cells keep their markup as it is written.
+
+    A caption, and text outside of cells, are rows of the section ``caption``.
+    """
+
+    def __init__(self, html: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.html, self.lines = html, [0, *(m.end() for m in re.finditer("\n", html))]
+        self.depth, self.section, self.opening = 0, "", ""
+        self.rows: list[tuple[str, list[_Cell]]] = []
+        self.row: list[_Cell] | None = None
+        self.cell: _Cell | None = None
+        self.feed(html)
+        self.close()
+        self._end_cell(len(html))
+
+    def _at(self) -> int:
+        line, offset = self.getpos()
+        return self.lines[line - 1] + offset
+
+    def _end_cell(self, at: int) -> None:
+        if self.cell is not None:
+            self.cell.inner, self.cell = self.html[self.cell.begin : at], None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.depth += 1
+            if self.depth == 1:
+                self.opening, self.section, self.row = self.opening or self.get_starttag_text(), "", None
+            return
+        if self.depth != 1 or tag not in ("thead", "tbody", "tfoot", "tr", "td", "th", "caption"):
+            return
+        self._end_cell(self._at())
+        if tag in ("thead", "tbody", "tfoot"):
+            self.section, self.row = tag, None
+            return
+        if tag == "tr" or self.row is None:
+            self.row = []
+            self.rows.append(("caption" if tag == "caption" else self.section, self.row))
+        if tag != "tr":
+            opening = self.get_starttag_text()
+            self.cell = _Cell(tag, opening, self._at() + len(opening), dict(attrs))
+            self.row.append(self.cell)
+
+    def handle_endtag(self, tag):
+        if tag == "table":
+            if self.depth == 1:
+                self._end_cell(self._at())
+                self.row = None
+            self.depth = max(self.depth - 1, 0)
+        elif self.depth == 1 and tag in ("thead", "tbody", "tfoot", "tr", "td", "th", "caption"):
+            self._end_cell(self._at())
+            if tag not in ("td", "th"):
+                self.row = None
+            if tag.startswith("t") and tag not in ("td", "th", "tr"):
+                self.section = ""
+
+    def handle_data(self, data):
+        if self.cell is not None:
+            self.cell.text += data
+        elif data.strip():
+            stray = _Cell("caption", "<caption>", 0, {})
+            stray.inner, stray.text = escape(data, quote=False), data
+            self.rows.append(("caption", [stray]))
+
+
+def _single_rows(rows: list[tuple[str, list[_Cell]]]) -> list[tuple[str, list[tuple[_Cell | None, bool]]]]:
+    """Cells ``(cell, is its own row)``, those that span rows repeated in each, so that any row can begin a table."""
+    out, pending, last = [], {}, None
+    for section, cells in rows:
+        if section == "caption":
+            out.append((section, [(c, True) for c in cells]))
+            continue
+        waiting, pending, last = pending if section == last else {}, {}, section
+        line, column, queue = [], 0, list(cells)
+        while queue or any(k >= column for k in waiting):
+            if column in waiting:
+                cell, left = waiting.pop(column)
+                line.append((cell, False))
+            elif queue:
+                cell = queue.pop(0)
+                left = cell.rowspan
+                line.append((cell, True))
+            else:
+                cell, left = None, 1
+                line.append((None, False))
+            if left > 1:
+                pending[column] = (cell, left - 1)
+            column += cell.colspan if cell else 1
+        out.append((section, line))
+    return out
+
+
+def _dense(text: str) -> str:
+    return "".join(text.split())
+
+
+def cut_table(text: str, html: str | None, limit: int, cut) -> list[tuple[str, str | None]]:
+    """Pieces ``(text, html)`` of a table whose text is longer than ``limit`` characters.
+
+    Pieces end between rows and have a table of their own with the header repeated; their texts together are the
+    text of the table. A row longer than the limit is continued in further rows of as many columns, between cells
+    or, by ``cut``, inside a cell (that cell keeps its text, not the markup in it). When text and markup do not say
+    the same, the text is cut by itself and the rows are dealt over its pieces in order. Markup without rows stays
+    whole with the first piece.
+    """
+    if not isinstance(html, str) or not html.strip():
+        return [(p, None) for p in cut(text, limit)]
+    reader = _MarkupReader(html)
+    rows = _single_rows(reader.rows)
+    own = [cell for _, line in rows for cell, mine in line if mine]
+    if not any(section != "caption" for section, _ in rows):
+        return [(p, None if i else html) for i, p in enumerate(cut(text, limit))]
+    agree = _dense(text) == "".join(_dense(c.text) for c in own)
+    body = text if agree else " ".join(" ".join(c.text.split()) for c in own)
+
+    # Where the text of each cell lies in the body; both have the same characters, spaces apart.
+    solid = [i for i, c in enumerate(body) if not c.isspace()]
+    place, used = {}, 0
+    for cell in own:
+        size = len(_dense(cell.text))
+        if size:
+            place[id(cell)] = solid[used], solid[used + size - 1] + 1
+        used += size
+
+    def extent(line) -> tuple[int, int] | None:
+        spans = [place[id(c)] for c, mine in line if mine and id(c) in place]
+        return (spans[0][0], spans[-1][1]) if spans else None
+
+    def written(section, line, shown=None, inner=None) -> str:
+        """A row; with ``shown``, of the cells that have text only this one."""
+        out = []
+        for cell, mine in line:
+            if cell is None:
+                out.append("<td></td>")
+                continue
+            bare = (id(cell) in place and cell is not shown) if shown else not mine and len(cell.text) > limit
+            out.append(cell.written("" if bare else inner if cell is shown and inner is not None else cell.inner))
+        return "".join(out) if section == "caption" else f"<tr>{''.join(out)}</tr>"
+
+    def units(section, line):
+        """``(begin and end in the body, markup)`` of a row or of its parts."""
+        whole = extent(line)
+        if whole is None or whole[1] - whole[0] <= limit:
+            yield whole, written(section, line)
+            return
+        for cell, mine in line:
+            if not mine or id(cell) not in place:
+                continue
+            begin, end = place[id(cell)]
+            if end - begin <= limit:
+                yield (begin, end), written(section, line, cell)
+                continue
+            for piece in cut(body[begin:end], limit):
+                begin = body.index(piece, begin)
+                yield (begin, begin + len(piece)), written(section, line, cell, escape(piece, quote=False))
+                begin += len(piece)
+
+    lines = [i for i, (section, _) in enumerate(rows) if section != "caption"]
+    is_head = [rows[i][0] == "thead" for i in lines]
+    if not is_head[0]:
+        is_head = [bool(rows[i][1]) and all(c is not None and c.tag == "th" for c, _ in rows[i][1]) for i in lines]
+    n_head = next((k for k, h in enumerate(is_head) if not h), 0)
+    head = set(lines[:n_head])
+    spans = [e for i in sorted(head) if (e := extent(rows[i][1]))]
+    if spans and spans[-1][1] - spans[0][0] > limit:
+        head = set()
+    top = "".join(written(*rows[i]) for i in sorted(head))
+
+    texts = None if agree else cut(text, limit)
+    groups = [[None, None, "", ""] for _ in texts or [0]]  # begin, end, captions, rows
+    at = 0
+    for i, (section, line) in enumerate(rows):
+        for where, markup in units(section, line):
+            if where and not agree:
+                at = where[0] * len(groups) // max(len(body), 1)
+            elif where:
+                if groups[at][0] is not None and where[1] - groups[at][0] > limit:
+                    groups.append([None, None, "", ""])
+                    at += 1
+                groups[at][0] = where[0] if groups[at][0] is None else groups[at][0]
+                groups[at][1] = where[1]
+            if i not in head:
+                groups[at][2 if section == "caption" else 3] += markup
+    top = f"<thead>{top}</thead>" if top else ""
+    tables = [f"{reader.opening}{captions}{top}<tbody>{inside}</tbody></table>" for _, _, captions, inside in groups]
+    return list(zip(texts if texts is not None else [body[g[0] : g[1]] for g in groups], tables))
+
+
 def extract_tables(text: Column) -> Column:
     """Array with the markup of every table in the text."""
 

@@ -314,3 +314,35 @@ def test_block_maps_compose():
                 step = sections._follow(m, *step)
                 assert step == want
             assert sections._follow(whole, *state) == step
+
+
+def test_long_tables_keep_their_markup(spark):
+    cell = " ".join(f"long{i}" for i in range(20))
+    rows = [f"<tr><td>a{i}</td><td><b>b{i}</b> &lt;</td></tr>" for i in range(30)]
+    rows[10] = '<tr><td rowspan="3">tall</td><td>b10</td></tr>'
+    rows[11], rows[12] = "<tr><td>b11</td></tr>", f"<tr><td>{cell}</td></tr>"
+    html = f'<table class="x"><caption>of it</caption><thead><tr><th>h</th><th>k</th></tr></thead><tbody>{"".join(rows)}</tbody></table>'
+    texts = [f"a{i} b{i} <" for i in range(30)]
+    texts[10:13] = ["tall b10", "b11", cell]
+    text = "\n".join(["of it", "h k", *texts])
+    made = [(d, 0, "NarrativeText", "before", 1, None) for d in range(4)]
+    made += [(0, 1, "Table", text, 1, html), (1, 1, "Table", "other " * 20, 1, html), (2, 1, "Table", text, 1, None)]
+    made += [(3, 1, "Table", text, 1, "<img src='x'>")]
+    frame = spark.createDataFrame(made, "doc_id long, pos long, category string, text string, page_number int, html string")
+    chunks = sections.chunk_by_title(frame, sections.Profile(0, None, 60))
+    got = [sorted((r for r in chunks.collect() if r.doc_id == d and r.kind == "Table"), key=lambda r: r.sub) for d in range(4)]
+    for d in (0, 1):
+        assert len(got[d]) > 1 and all(len(r.text) <= 60 for r in got[d])
+        assert all(r.html.startswith('<table class="x">') and "<thead><tr><th>h</th><th>k</th></tr></thead>" in r.html for r in got[d])
+        joined = "".join(r.html for r in got[d])
+        assert all(joined.count(row) == 1 for i, row in enumerate(rows) if not 10 <= i <= 12)
+        assert joined.count("<caption>of it</caption>") == 1 and joined.count("<td>tall</td>") == 2
+        assert all(joined.count(f"long{i}<") + joined.count(f"long{i} ") == 1 for i in range(20))
+    assert "".join("".join(r.text for r in got[0]).split()) == "".join(text.split())
+    # Every piece of text has the markup of the same cells.
+    for r in got[0]:
+        assert all((f"<b>b{i}</b>" in r.html) == (f"b{i} <" in r.text) for i in range(30) if not 10 <= i <= 12)
+    assert "".join(r.text for r in got[1]).split() == ["other"] * 20
+    assert [r.html for r in got[2]] == [None] * len(got[2]) and [r.html for r in got[3]][:2] == ["<img src='x'>", None]
+    whole = {r.doc_id: r.text for r in merging.attach_tables(chunks, "|", "skip").collect()}
+    assert whole[0] == "|".join(["before", *(r.html for r in got[0])]) and whole[2] == "before"
