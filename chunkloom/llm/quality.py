@@ -192,7 +192,8 @@ def held_out(doc_id="doc_id"):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Additive:
     """Fit on at most ``sample_rows`` labelled texts that are not held out, chosen by a hash of the id.
 
-    Several labels of an id count by their mean; labels that are null or without a text are left out.
+    Several labels of an id count by their mean, and so do the features of several texts of an id; labels that are
+    null or without a text are left out.
     """
     known = with_columns_renamed(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
     known = known.where(~held_out()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
@@ -206,8 +207,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), x], ["doc_id", "label", "x"])
 
     texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
-    # At most sample_rows rows of a few numbers (more only where rows share an id).
-    rows = texts.mapInArrow(run, "doc_id long, label int, x array<double>").toPandas()
+    rows = texts.mapInArrow(run, "doc_id long, label int, x array<double>")
+    each = [F.get("x", F.lit(f)) for f in range(len(FEATURES))]
+    # Decimal sums do not depend on the order of the rows; the feature of a single row stays as it is.
+    mean = [F.when(F.count("*") == 1, F.max(x)).otherwise(F.avg(x.cast("decimal(28,12)")).cast("double")) for x in each]
+    # At most sample_rows rows of a few numbers, however many rows share an id.
+    rows = rows.groupBy("doc_id", "label").agg(F.array(*mean).alias("x")).toPandas()
     rows = sorted(zip(rows["doc_id"], map(tuple, rows["x"]), rows["label"]))
     x = np.array([r[1] for r in rows], float).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r[2] for r in rows], float))

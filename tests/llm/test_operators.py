@@ -204,6 +204,23 @@ def test_quality(spark, docs):
     assert {r["score"] for r in scored} == {0.5}
 
 
+def test_quality_bounds_rows_of_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(x) or quality.Additive())
+    rows = [(i, f"text {i}") for i in range(30)] + [(0, "word " * (i % 7)) for i in range(3000)] + [(0, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int").where(~quality.held_out())
+    n = labels.count()
+    assert labels.where("doc_id = 0").count() == 1
+    for _ in range(2):
+        quality.train(docs, labels)
+    assert [len(x) for x in seen] == [n, n] and (seen[0] == seen[1]).all()
+    want = np.mean([quality.features_of((t or "").encode()) for i, t in rows if i == 0], axis=0)
+    assert min(abs(x - want).max() for x in seen[0]) < 1e-9
+    quality.train(docs, labels, sample_rows=4)
+    assert len(seen[2]) == 4
+
+
 def test_mixing(docs):
     rows = mixing.mix(docs).collect()
     by = {}
