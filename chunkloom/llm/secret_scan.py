@@ -2,7 +2,10 @@
 
 Candidate strings are runs of the letters of keys. A window slides over each; the counts of its characters
 change by the one that enters and the one that leaves, and so does the entropy, kept as a whole number. Windows
-above the threshold of the string's character class mark a span, unless an allow-list knows the string.
+above the threshold of the string's character class mark a span, unless an allow-list knows the string. Plain words
+of the allow-list that are parts of a path or a name (``samples/...``) are cut out before, so that what stands beside
+them is looked at; its words also clear a marked span that holds one. Strings without a digit or without a letter are
+no candidates: they are words and numbers far more often than keys, and entropy does not tell them apart.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ ALLOW = [
     r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"(?i)example|sample|dummy|placeholder|changeme|abcdefghij|0123456789",
 ]
+# A word, perhaps with a number, between separators that holds one of the words above.
+ALLOW_PART = rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9]*({ALLOW[1]}))(?:[A-Z]?[a-z]*|[A-Z]+)[0-9]*(?![A-Za-z0-9])"
 ALLOW_BEFORE = r"(?:sha1|sha256|sha512|md5)[-:=]$"
 
 
@@ -71,6 +76,27 @@ def high_entropy(value: Column, limit: Column, window: int = WINDOW) -> Column:
     return F.aggregate(moves, start, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
 
 
+def beside_words(value: Column) -> Column:
+    """Array of (from, value): the string without the plain words of the allow-list in it, and where each rest begins."""
+    words = F.regexp_extract_all(value, F.lit(ALLOW_PART), F.lit(0))
+    pieces = F.split(value, ALLOW_PART, -1)
+    pairs = F.zip_with(pieces, words, lambda p, w: F.struct(p.alias("p"), F.length(F.coalesce(w, F.lit(""))).alias("w")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,value:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        rest = F.when(acc["at"] > 0, F.regexp_replace(x["p"], r"^[+/_=-]+", "")).otherwise(x["p"])
+        begin = acc["at"] + F.length(x["p"]) - F.length(rest)
+        rest = F.when(x["w"] > 0, F.regexp_replace(rest, r"(?<![+/_=-])[+/_=-]+$", "")).otherwise(rest)
+        return F.struct(
+            (acc["at"] + F.length(x["p"]) + x["w"]).alias("at"),
+            F.concat(acc["out"], F.array(F.struct(begin.cast("int").alias("from"), rest.alias("value")))).alias("out"),
+        )
+
+    return F.when(value.rlike(ALLOW_PART), F.aggregate(pairs, start, step, lambda a: a["out"])).otherwise(
+        F.array(F.struct(F.lit(0).alias("from"), value.alias("value")))
+    )
+
+
 def secret_spans(rows: DataFrame) -> DataFrame:
     """Keys, kind, start, end, value, base of every span; ``rows`` has the key columns and text."""
     found = written(pattern_spans(rows, {**BASE, "entropy": CANDIDATE}, {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)"}, 16), "secret-candidates")
@@ -84,16 +110,17 @@ def secret_spans(rows: DataFrame) -> DataFrame:
         most = math.floor(WINDOW * (math.log2(WINDOW) - bits) * SCALE)
         limit = F.when(value.rlike(pattern), F.lit(most)).otherwise(limit)
     other = found.where(F.col("kind") == "entropy").where(value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
-    for pattern in ALLOW:
-        other = other.where(~value.rlike(pattern))
-    other = other.where(~F.col("before").rlike(ALLOW_BEFORE)).withColumn("high", high_entropy(value, limit))
+    other = other.where(~value.rlike(ALLOW[0]) & ~F.col("before").rlike(ALLOW_BEFORE))
+    other = other.select(*KEY, "kind", "start", F.explode(beside_words(value)).alias("part"))
+    other = other.select(*KEY, "kind", (F.col("start") + F.col("part.from")).alias("start"), F.col("part.value").alias("value"))
+    other = other.where(F.length("value") >= WINDOW).withColumn("high", high_entropy(value, limit))
     other = other.where(F.col("high.first").isNotNull()).select(
         *KEY, "kind", (F.col("start") + F.col("high.first")).alias("start"),
         (F.col("start") + F.col("high.last")).alias("end"),
         F.substring("value", F.col("high.first") + 1, F.col("high.last") - F.col("high.first")).alias("value"),
         F.lit(False).alias("base"),
     )
-    return base.unionByName(other)
+    return base.unionByName(other.where(~value.rlike(ALLOW[1])))
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

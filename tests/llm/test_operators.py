@@ -177,6 +177,17 @@ def test_entropy_windows(spark):
     assert got == {1: [(4, 28)], 2: [], 3: []}
 
 
+def test_allow_list_keeps_what_stands_beside_its_words(spark):
+    key = "xK9fQ2mZ7LpW4vTn8RbY3cHd"
+    texts = [
+        f"samples/{key}", f"a/samples/{key}", f"{key}/dummy/{key}", f"DUMMY2_Example-{key}", f"example{key}",
+        "wJalrXUtnFEMI/K7MDENG2/bPxRfiCYEXAMPLEKEY", "see samples/of/every/kind/of/text/2", "é " + f"sample_/{key}=",
+    ]
+    got = secret_scan.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r["doc_id"]: sorted((s["start"], s["end"]) for s in r["spans"]) for r in got.collect()}
+    assert got == {0: [(8, 32)], 1: [(10, 34)], 2: [(0, 24), (31, 55)], 3: [(15, 39)], 4: [], 5: [], 6: [], 7: [(10, 35)]}
+
+
 def test_personal_data(docs):
     out = pii.find_personal_data(docs)
     assert out.columns[:-1] == [c for c in docs.columns if c != "spans"]
