@@ -118,12 +118,15 @@ def semi_by_substring(
     max_key_bytes: int = MAX_KEY_BYTES,
     gram: int = 12,
 ) -> DataFrame:
-    """Items whose text contains at least one key; whole texts, no pairwise comparison."""
+    """Items whose text contains at least one key; whole texts, no pairwise comparison.
+
+    Every row is judged by its own text, so ids (``item_id``) may repeat or be null.
+    """
     words = keys.select(F.col(keys.columns[0]).alias("_key")).filter(F.length("_key") > 0).distinct()
     size = words.agg(F.sum(F.octet_length("_key"))).first()[0] or 0
     if size <= max_key_bytes and ahocorasick is not None:
         return _match_sent_keys(items, [r[0] for r in words.collect()], text)
-    return _match_joined_keys(items, words, item_id, text, gram)
+    return _match_joined_keys(items, words, text, gram)
 
 
 def _match_sent_keys(items: DataFrame, words: list[str], text: str) -> DataFrame:
@@ -144,11 +147,12 @@ def _match_sent_keys(items: DataFrame, words: list[str], text: str) -> DataFrame
     return items.filter(holds(F.col(text)))
 
 
-def _match_joined_keys(items: DataFrame, words: DataFrame, item_id: str, text: str, gram: int) -> DataFrame:
+def _match_joined_keys(items: DataFrame, words: DataFrame, text: str, gram: int) -> DataFrame:
     """Look every key up by the one of its character grams that fewest keys share.
 
     Texts are exploded into gram hashes only; a text and a key meet when the text holds that gram, and
     only such candidates are tested whole. Keys shorter than ``gram`` are looked up by their own length.
+    Rows are known by a digest of their text; equal texts are looked up once.
     """
 
     def grams(value: Column, size: Column) -> Column:
@@ -165,24 +169,22 @@ def _match_joined_keys(items: DataFrame, words: DataFrame, item_id: str, text: s
     )
     # At most `gram` different sizes exist, so this list is short.
     sizes = [r[0] for r in anchors.select("_size").distinct().collect()]
-    body, piece = F.col(text), F.col("_piece")
+    digest, body, piece = F.sha2(F.col(text), 256), F.col("_body"), F.col("_piece")
+    bodies = items.select(digest.alias("_row"), F.col(text).alias("_body")).filter("_body is not null")
+    bodies = bodies.groupBy("_row").agg(F.any_value("_body").alias("_body"))
     starts = F.sequence(F.lit(0), F.floor(F.length(body) / PIECE))
-    pieces = items.select(
-        item_id,
+    pieces = bodies.select(
+        "_row",
         F.explode(F.transform(starts, lambda s: F.substring(body, s * PIECE + 1, F.lit(PIECE + gram - 1)))).alias("_piece"),
     )
     held = [
         F.when(F.length(piece) >= s, grams(piece, F.lit(s))).otherwise(F.array().cast("array<bigint>"))
         for s in sorted(sizes)
     ]
-    probes = pieces.select(item_id, F.explode(F.concat(*held)).alias("_gram"))
-    candidates = probes.join(anchors.select("_gram", "_key"), "_gram").select(item_id, "_key").distinct()
-    hits = (
-        candidates.join(items.select(item_id, body.alias("_body")), item_id)
-        .filter(F.contains(F.col("_body"), F.col("_key")))
-        .select(item_id)
-    )
-    return items.join(hits, item_id, "left_semi")
+    probes = pieces.select("_row", F.explode(F.concat(*held)).alias("_gram"))
+    candidates = probes.join(anchors.select("_gram", "_key"), "_gram").select("_row", "_key").distinct()
+    hits = candidates.join(bodies, "_row").filter(F.contains(body, F.col("_key"))).select("_row")
+    return items.withColumn("_row", digest).join(hits, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in items.columns])
 
 
 def job_snapshot(jobs: DataFrame, docs: DataFrame, collections: DataFrame, stage: str) -> DataFrame:

@@ -189,6 +189,16 @@ def test_substring_join_paths_agree(spark):
         assert {r.i for r in got} == {0, 2, 5}
 
 
+def test_substring_join_paths_agree_on_repeated_and_null_ids(spark):
+    rows = [(1, "has needle"), (1, "has none"), (None, "needle too"), (None, "nothing"), (2, "needle"), (2, "needle"), (3, None)]
+    items = spark.createDataFrame(rows, "i int, t string")
+    keys = spark.createDataFrame([("needle",)], "k string")
+    want = [(1, "has needle"), (2, "needle"), (2, "needle"), (None, "needle too")]
+    for limit in (0, 10**6):
+        got = joins.semi_by_substring(items, keys, "i", "t", max_key_bytes=limit)
+        assert got.columns == ["i", "t"] and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_services_report_errors(spark):
     chunks = spark.createDataFrame([(i, f"t{i}\n\nx") for i in range(7)], "i int, text string").coalesce(1)
 
