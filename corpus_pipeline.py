@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import chunkloom
-from chunkloom.llm.common import KEY, row_key, table, written
+from chunkloom.llm.common import KEY, SPACE_WORD, row_key, table, written
 from chunkloom.llm.decontamination import decontaminate
 from chunkloom.llm.mixing import mix
 from chunkloom.llm.near_dedup import near_duplicates
@@ -29,13 +29,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates, and one row of each id.
+    """Keep one row of each group of near duplicates: that with the smallest id, then the least hash of its text.
 
-    Rows without id stay; so do documents without words, which are near nothing.
+    Rows are judged by their texts: an id that repeats with unlike texts keeps a row of each, and rows without id
+    take part, after all that have one. Texts without words are near nothing and stay, once for each id and text,
+    or all where there is no id. Of rows with equal id and text the least by its other columns stays.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where(F.col("doc_id").isNull()))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(SPACE_WORD)
+    keyed = docs.select(F.struct(*names).alias("row"), F.col("doc_id").isNull().alias("no_id"), has_words.alias("words"), "text", *row_key())
+    # One row stands for all with its text, so that exact copies are compared once.
+    texts = keyed.where("words").groupBy("k2").agg(F.min(F.struct("no_id", "k1")).alias("first"), F.any_value("text").alias("text"))
+    texts = written(texts, "texts-once")
+    near = near_duplicates(texts.select(F.col("k2").alias("doc_id"), "text")).select(F.col("doc_id").alias("k2"), "component_id")
+    best = near.join(texts.select("k2", "first.*"), "k2").groupBy("component_id").agg(F.min(F.struct("no_id", "k1", "k2")).alias("best"))
+    best = best.select("best.k1", "best.k2", F.lit(True).alias("best"))
+    once = keyed.where("words or not no_id").groupBy(*KEY).agg(F.min("row").alias("row"), F.any_value("words").alias("words"))
+    kept = once.join(best, KEY, "left").where("best or not words").select("row.*")
+    return kept.unionByName(docs.where(F.col("doc_id").isNull() & ~has_words))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,6 +135,23 @@ def test_near_duplicates_find_every_link(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(parent))
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    a, b, c, d = (words(rng, 80, 4000) for _ in range(4))
+    rows = [
+        (5, a, "x"), (5, b, "x"), (5, b, "w"), (7, a + " more", "x"), (3, a, "x"), (9, c, "x"), (None, c, "x"),
+        (None, d, "y"), (None, d, "x"), (6, None, "x"), (6, None, "x"), (8, " ", "x"), (None, "", "x"), (None, "", "x"),
+    ]
+    want = [(3, a, "x"), (5, b, "w"), (9, c, "x"), (None, d, "x"), (6, None, "x"), (8, " ", "x"), (None, "", "x"), (None, "", "x")]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+        got = corpus_pipeline.keep_one_of_each(spark, docs, "")
+        assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(50, 50)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links, "a", "b").collect()}
