@@ -103,19 +103,21 @@ SELECT doc_id, len('row line' || chr(10) || rows) > 4096 AS cut, true AS fits, t
 def chunk_by_title_long_tables(spark, sf):
     """The lines of a document as the rows of one table: all cells and all text, as found in the pieces."""
     blank = "".join(tx.WHITESPACE)
-    line = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    row = F.struct(
-        "pos",
-        F.concat_ws(" ", F.col("pos").cast("string"), "text").alias("text"),
-        F.concat(F.lit("<tr><td>"), F.col("pos").cast("string"), F.lit("</td><td>"), line, F.lit("</td></tr>")).alias("html"),
-    )
-    rows = document_elements(spark, sf).groupBy("doc_id").agg(F.sort_array(F.collect_list(row)).alias("r"))
-    elements = rows.select(
+
+    def row(line, i):
+        escaped = line
+        for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            escaped = F.replace(escaped, F.lit(plain), F.lit(entity))
+        return F.concat(F.lit("<tr><td>"), i.cast("string"), F.lit("</td><td>"), escaped, F.lit("</td></tr>"))
+
+    lines = F.split("text", "\n")
+    texts = F.transform(lines, lambda line, i: F.concat(i.cast("string"), F.lit(" "), line))
+    elements = table(spark, sf, "documents").filter("text is not null").select(
         "doc_id", F.lit(0).cast("long").alias("pos"), F.lit("Table").alias("category"), F.lit(1).alias("page_number"),
-        F.concat(F.lit("row line\n"), F.array_join("r.text", "\n")).alias("text"),
-        F.concat(F.lit("<table><tr><th>row</th><th>line</th></tr>"), F.array_join("r.html", ""), F.lit("</table>")).alias("html"),
-    )
-    pieces = sections.chunk_by_title(elements, "sci_pdf")
+        F.concat(F.lit("row line\n"), F.array_join(texts, "\n")).alias("text"),
+        F.concat(F.lit("<table><tr><th>row</th><th>line</th></tr>"), F.array_join(F.transform(lines, row), ""), F.lit("</table>")).alias("html"),
+    )
+    pieces = sections.chunk_by_title(elements, "sci_pdf", longest=0)
     cells = F.array_join(F.regexp_extract_all("html", F.lit("<td>([^<]*)</td>"), F.lit(1)), "")
     cells = F.replace(F.replace(F.replace(cells, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
     pieces = pieces.withColumns({"cells": F.translate(cells, blank, ""), "text_": F.translate("text", blank, "")})

@@ -342,7 +342,7 @@ def test_long_tables_keep_their_markup(spark):
     # Every piece of text has the markup of the same cells.
     for r in got[0]:
         assert all((f"<b>b{i}</b>" in r.html) == (f"b{i} <" in r.text) for i in range(30) if not 10 <= i <= 12)
-    assert "".join(r.text for r in got[1]).split() == ["other"] * 20
+    assert " ".join(r.text for r in got[1]).split() == ["other"] * 20
     assert [r.html for r in got[2]] == [None] * len(got[2]) and [r.html for r in got[3]][:2] == ["<img src='x'>", None]
     whole = {r.doc_id: r.text for r in merging.attach_tables(chunks, "|", "skip").collect()}
     assert whole[0] == "|".join(["before", *(r.html for r in got[0])]) and whole[2] == "before"
