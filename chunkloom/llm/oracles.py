@@ -99,3 +99,49 @@ r AS (SELECT page_id, host, path, CASE
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
   WHEN rule IS NOT NULL THEN 'allow' WHEN host IN (SELECT host FROM l) THEN 'block' ELSE 'allow' END AS verdict
 FROM r"""
+
+# h is crc32 (polynomial 0xEDB88320, reflected) of the digits of conv_id, modulo 6.
+TRIE = """
+WITH numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS rank
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce([4294967295] || [ord(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')],
+           lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT FOR i IN range(8)],
+             lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM numbered)
+), turns AS (
+  SELECT i.conv_id, 0 AS part, n.rank, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.base AND n.rank <= i.h
+  UNION ALL
+  SELECT i.conv_id, 1, n.rank, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND n.rank > i.h
+), deep AS (
+  SELECT conv_id, role, text, row_number() OVER w AS depth, list(sha256(role || chr(1) || text)) OVER w AS path
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, rank)
+), places AS (
+  SELECT conv_id, depth, sha256(array_to_string(path, ',')) AS node,
+         CASE WHEN depth > 1 THEN sha256(array_to_string(path[:-2], ',')) ELSE '' END AS parent, length(text) AS size FROM deep
+  UNION ALL
+  SELECT conv_id, 0, '', NULL, 0 FROM ids
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(size) AS saved
+  FROM places GROUP BY node
+), child AS (
+  SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+  -- The least member of a node passes through all nodes above it.
+  SELECT p.node, sum(n.saved) AS saved, sum((c.node IS NULL)::INT) AS leaves
+  FROM nodes n LEFT JOIN child c ON c.node = n.node JOIN places p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  GROUP BY p.node
+), ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS listed
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM places GROUP BY conv_id) GROUP BY node
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.listed, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN nodes p ON p.node = n.parent
+LEFT JOIN child c ON c.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""

@@ -14,14 +14,17 @@ from .mixing import mix
 from .near_dedup import near_duplicates
 from .pii import KINDS as PERSONAL
 from .pii import find_personal_data
+from .prefix_trie import conversation_trie
 from .quality import classify
 from .secret_scan import KINDS as SECRETS
 from .secret_scan import scan_secrets
 from .spans import listed, of_kind
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
+from .token_blocks import round_trip
 from .topk import top_k
 from .url_filter import judge, tracking_hosts
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +109,21 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op11_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(oracles.TRIE)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
