@@ -32,13 +32,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import BYTE_VALUES, NOT_SPACE, chunks, scratch_root, span_hashes, text_bytes, with_columns_renamed, word_spans
+from .common import BYTE_VALUES, NOT_SPACE, scratch_root, span_hashes, text_bytes, with_columns_renamed, word_spans
 
 MAGIC = b"PFORIDS1"
 BLOCK = 512
@@ -48,8 +49,8 @@ FILE_IDS = 1 << 25  # ids after which a task begins another file
 FOOTER = "<QQQQI8s"
 MANIFEST = "_files.json"
 END_ID = 0
-CHUNK_BYTES = 1 << 22  # text encoded at a time, if no text is longer
-MEMO = 1 << 19  # pieces whose ids a worker keeps
+CHUNK_BYTES = 1 << 20  # text encoded at a time, if no text is longer
+MEMO = 1 << 18  # pieces after which those not met again are forgotten
 LINES = 64  # pieces encoded as one text
 
 
@@ -395,6 +396,7 @@ class Encoder:
             and not cut.get("add_prefix_space") and len(self.line) == 1
         )
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -444,9 +446,11 @@ class Encoder:
             return self._whole(texts)
         keys = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
         if len(self.memo) > MEMO:
-            self.memo = {}
-        self._learn([k for k in keys if k not in self.memo])
-        memo = self.memo
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        new = [k for k in keys if k not in memo]
+        memo.update((k, older[k]) for k in new if k in older)
+        self._learn([k for k in new if k not in memo])
         known = [memo[k] for k in keys]
         every, count = np.frombuffer(b"".join(known), "<u4"), np.array(list(map(len, known))) // 4
         each = count[kind]
@@ -469,10 +473,15 @@ def with_ids(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> Da
             state["encoder"] = Encoder(state["file"])
         encode = state["encoder"]
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), text_bytes(batch.column("text"))
-            for a, b in chunks(texts, CHUNK_BYTES):
-                ids = [np.concatenate([x, end]).tobytes() for x in encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            doc_ids, column = batch.column("doc_id"), batch.column("text")
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            a = size = 0
+            for i, more in enumerate(sizes):
+                size += more
+                if size >= CHUNK_BYTES or i + 1 == len(sizes):
+                    ids = [np.concatenate([x, end]).tobytes() for x in encode(text_bytes(column.slice(a, i + 1 - a)))]
+                    yield pa.RecordBatch.from_arrays([doc_ids.slice(a, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                    a, size = i + 1, 0
 
     return docs.mapInArrow(run, "doc_id long, ids binary")
 
