@@ -221,23 +221,27 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 def score(docs: DataFrame, model: Additive) -> DataFrame:
     """All columns of ``docs`` and the column ``quality_score``, which replaces one of that name.
 
-    Null and empty texts are scored like any other, by their (zero) features; so are repeated rows.
+    Null and empty texts are scored like any other, by their (zero) features; so are repeated rows. The model, some
+    thousand numbers, travels with the function, by value like all code, so workers need no copy of the package.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # some thousand numbers
     names = [c for c in docs.columns if c != "quality_score"]
     rows = docs.select(*[F.col(f"`{c}`") for c in names])
     schema = StructType([*rows.schema.fields, StructField("quality_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.score(feature_rows(text_bytes(batch.column("text"))))
+            scores = model.score(feature_rows(text_bytes(batch.column("text"))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "quality_score"])
 
     return rows.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row; further columns are ignored."""
+    """doc_id, held_out, score and predicted of every row; further columns are ignored.
+
+    Null and empty texts and repeated rows are scored like any other, rows without id count as not held out; an empty
+    table gives no rows, and without usable labels every score is the same.
+    """
     own = with_columns_renamed(docs, "doc_id", "text")
     scored = score(own, train(docs, labels, sample_rows))
     return scored.select(
