@@ -251,13 +251,13 @@ def split_table(html: str, limit: int, count) -> list[str]:
 
 
 def cut_to_size(html: str, limit: int, count) -> list[str]:
-    """Parts of a table below ``limit`` tokens; a table whose rows cannot be read stays whole."""
+    """Parts of a table below ``limit`` tokens; one whose rows cannot be read stays whole, unless it holds nothing."""
     if count(html) < limit:
         return [html] if html else []
     try:
         return split_table(html, limit, count)
     except (ValueError, IndexError):
-        return [html]
+        return [html] if re.sub("<[^>]*>", "", html).strip() else []
 
 
 # ---------------------------------------------------------------- tables cut with their own markup

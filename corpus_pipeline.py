@@ -52,8 +52,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which benchmark items make up 5 % of the words or more."""
     bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(*KEY).distinct()
-    keyed = docs.select("*", *row_key())
-    return keyed.join(bad, KEY, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The row travels as one value, so that no column of it can clash with the key.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key())
+    return keyed.join(bad, KEY, "left_anti").select("row.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
