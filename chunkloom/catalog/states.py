@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, merging
 from ..session import shared_dir
-from ..streaming import documents, jobs
+from ..streaming import documents, jobs, timers
 from .registry import query, table
 
 _EVENT = """CASE event_type WHEN 'signup' THEN 'submit' WHEN 'click' THEN 'claim' WHEN 'view' THEN 'heartbeat'
@@ -185,6 +185,99 @@ def dedupe_wakeups_stream(spark, sf):
     return documents.current_rows(spark, f"{folder}/out").select("user_id", "event_type")
 
 
+def _arriving(rows, ts, slices=4):
+    """The rows as a stream of files in the order of ``ts``, one file a micro-batch, and a folder for its results."""
+    spark = rows.sparkSession
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    first, last = rows.agg(F.min(F.unix_seconds(ts)), F.max(F.unix_seconds(ts))).first()
+    width = (last - first) // slices + 1
+    for i in range(slices):
+        mine = F.floor((F.unix_seconds(ts) - first) / width) == i
+        rows.where(mine).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    return stream.parquet(f"{folder}/in"), folder
+
+
+def _last_changes(spark, changes, folder, key):
+    timers.publish_changes(changes, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return timers.latest_changes(spark.read.schema(changes.schema).parquet(f"{folder}/out"), key)
+
+
+@query(
+    f"""WITH {_STATUS}, n AS (SELECT date_trunc('millisecond', max(ts)) AS now FROM events)
+SELECT job_id, status, attempts, status = 'running' AND date_trunc('millisecond', locked_until) < now AS expired FROM j, n"""
+)
+def job_leases_stream(spark, sf):
+    """Leases that end by silence: timers of a stream, whose clock is the other jobs' events."""
+    events = job_events(table(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    stream, folder = _arriving(events, "ts")
+    changes = timers.job_leases(stream, retention=400 * timers.DAY)
+    return _last_changes(spark, changes, folder, "job_id").drop("locked_until")
+
+
+@query(
+    f"""WITH k AS (SELECT {_RUN} AS task_id, CAST(epoch_ms(ts) AS BIGINT) AS ms, event_type FROM events),
+t AS (SELECT task_id, min(ms) FILTER (event_type = 'signup') AS submitted, min(ms) FILTER (event_type = 'click') AS started,
+    bool_or(event_type = 'purchase') AS over FROM k GROUP BY task_id),
+n AS (SELECT max(ms) AS now FROM k),
+p AS (SELECT task_id, CASE WHEN now - submitted >= 500000000 THEN 'pending timeout'
+    WHEN now - started >= 80000000 THEN 'timeout' END AS problem FROM t, n WHERE NOT over)
+SELECT task_id, problem FROM p WHERE problem IS NOT NULL"""
+)
+def task_limits_stream(spark, sf):
+    """The limits of ``task_timeouts`` kept by timers, with no ``now`` given from outside."""
+    kind = F.col("event_type")
+    state = (
+        F.when(kind == "signup", F.lit("SUBMITTED"))
+        .when(kind == "click", F.lit("STARTED"))
+        .when(kind == "purchase", F.lit("SUCCESS"))
+        .otherwise(F.lit("PENDING"))
+    )
+    events = table(spark, sf, "events").select(_run_id().alias("task_id"), F.col("ts").cast("timestamp").alias("ts"), state.alias("state"))
+    stream, folder = _arriving(events, "ts")
+    changes = timers.task_limits(stream, 80_000, 500_000, retention=400 * timers.DAY)
+    return _last_changes(spark, changes, folder, "task_id").where("problem is not null")
+
+
+# Orders stand for documents, their lines for files; a file is seen on its shipping date, some in another size.
+_WAITING = """d AS (SELECT o_orderkey AS document_id, o_orderdate::DATE AS since, o_orderdate::DATE + 900 AS deadline FROM orders),
+f AS (SELECT l_orderkey AS document_id, (l_linenumber % 3)::VARCHAR AS role, 'part-' || l_linenumber AS name,
+    min(l_shipdate)::DATE AS seen, min(l_quantity) >= 45 AS other FROM lineitem GROUP BY l_orderkey, l_linenumber),
+n AS (SELECT max(day) AS now FROM (SELECT since AS day FROM d UNION ALL SELECT since + 2 FROM d UNION ALL SELECT seen FROM f)),
+e AS (SELECT document_id, role, name, CASE WHEN seen > deadline THEN 'LOCAL_ARTIFACT_MISSING: ' || name
+    WHEN other THEN 'S3_ARTIFACT_MISMATCH: ' || name || ' size' END AS error FROM f JOIN d USING (document_id)),
+g AS (SELECT document_id, arg_min(error, (role, name)) FILTER (error IS NOT NULL) AS error FROM e GROUP BY document_id),
+v AS (SELECT d.document_id, d.deadline, CASE WHEN d.document_id % 97 = 0 THEN 'S3_MANIFEST_MISMATCH: version' ELSE g.error END AS error,
+    d.document_id % 97 = 0 AS final FROM d LEFT JOIN g USING (document_id))"""
+
+
+@query(
+    f"""WITH {_WAITING} SELECT document_id,
+  CASE WHEN error IS NULL THEN 'ready' WHEN final OR now >= deadline THEN 'failed' ELSE 'waiting' END AS state,
+  CASE WHEN error IS NULL OR final OR now < deadline THEN error ELSE 'S3_NOT_READY_AFTER_TIMEOUT: ' || error END AS error
+FROM v, n WHERE final OR error IS NULL OR now >= deadline"""
+)
+def ready_waiting_stream(spark, sf):
+    """Documents wait over micro-batches for files that listings show later; the deadline comes by itself."""
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    name = F.concat(F.lit("part-"), F.col("l_linenumber"))
+    lines = lines.groupBy(F.col("l_orderkey").alias("document_id"), (F.col("l_linenumber") % 3).cast("string").alias("role"), name.alias("name")).agg(
+        F.min(F.col("l_shipdate").cast("date")).cast("timestamp").alias("ts"), F.min("l_partkey").cast("long").alias("size"),
+        (F.min("l_quantity") >= 45).cast("long").alias("more"), F.lit(None).cast("string").alias("sha256"),
+    )
+    entries = lines.groupBy("document_id").agg(F.collect_list(F.struct("role", "name", "size", "sha256")).alias("entries"))
+    since = F.col("o_orderdate").cast("date")
+    docs = orders.select(F.col("o_orderkey").alias("document_id"), since.cast("timestamp").alias("ts"), F.lit(1).alias("version"))
+    remote = docs.select(
+        "document_id", (F.col("ts") + F.expr("interval 2 days")).alias("ts"), F.when(F.col("document_id") % 97 == 0, 2).otherwise(1).alias("version")
+    )
+    files = lines.withColumn("size", F.col("size") + F.col("more"))
+    happened = timers.awaited(docs.join(entries, "document_id", "left"), remote, files, ["version"])
+    stream, folder = _arriving(happened, "ts")
+    changes = timers.ready_when_complete(stream, 900 * timers.DAY, retention=4000 * timers.DAY)
+    return _last_changes(spark, changes, folder, "document_id").where("state <> 'waiting'")
+
+
 @query("SELECT o_orderkey AS document_id, CASE WHEN o_orderstatus = 'P' THEN 'waiting' ELSE 'ready' END AS state FROM orders")
 def ready_stream(spark, sf):
     """Finished documents arrive as a stream; those whose remote manifest is there are ready."""
