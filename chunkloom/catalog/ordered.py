@@ -9,9 +9,9 @@ from ..operators import filters, merging, sections, tables
 from ..operators.segments import longest_document
 from ..plans import domains
 from ..sinks import records
-from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, longest_text, merged_sql, query, table, words
+from .registry import CHUNKS, ELEMENTS, SPACE, conversation_chunks, document_elements, longest_text, merged_sql, query, table, tokens
 
-LO, HI = 25, 90
+LO, HI = 65, 230
 
 
 @query(f"WITH {CHUNKS}, {merged_sql(LO, HI)} SELECT * FROM m")
@@ -20,6 +20,16 @@ def merge_small_chunks(spark, sf):
     return merged.drop("idx")
 
 
+_UNSPACED = "u AS (SELECT * REPLACE (replace(replace(text, ' ', ''), chr(10), '') AS text) FROM c)"
+
+
+@query(f"WITH {CHUNKS}, {_UNSPACED}, {merged_sql(LO, HI, 'u')} SELECT * FROM m")
+def merge_small_chunks_unspaced(spark, sf):
+    """The same on texts without a space: chunks keep their sizes, so documents do not end in one row."""
+    text = F.regexp_replace("text", "[ \n]", "")
+    return merging.merge_small_chunks(conversation_chunks(spark, sf).withColumn("text", text), LO, HI, tables=False).drop("idx")
+
+
 @query(
     f"""WITH {CHUNKS}, t AS (
   SELECT doc_id, pos, title, page_number, text || '<p>see</p><table><tr><td>' || title || '</td><td>' || pos
@@ -27,7 +37,7 @@ def merge_small_chunks(spark, sf):
 SELECT * FROM m
 UNION ALL
 SELECT doc_id, pos, 0 AS sub, '<table><tr><td>' || title || '</td><td>' || pos || '</td></tr></table>' AS text,
-  page_number FROM t WHERE {words('text')} > {HI}"""
+  page_number FROM t WHERE {tokens('text')} > {HI}"""
 )
 def merge_chunks_with_tables(spark, sf):
     text = F.concat(
@@ -376,7 +386,7 @@ _TAIL = "  </tbody>\n</table>"
 r AS (SELECT doc_id, i, '    <tr>' || chr(10) || '      <td>row ' || (i - 1) || '</td>' || chr(10)
     || '      <td>' || {_ESCAPED.format("trim(regexp_replace('line: ' || line, '[\\r\\n]+|\\s{2,}', ' ', 'g'))")}
     || '</td>' || chr(10) || '    </tr>' || chr(10) AS html FROM l),
-n AS (SELECT *, {words(f"'{_HEAD}' || html || '{_TAIL}'")} AS n FROM r),
+n AS (SELECT *, {tokens(f"'{_HEAD}' || html || '{_TAIL}'")} AS n FROM r),
 a AS (SELECT doc_id, list(html ORDER BY i) AS rows, list(n ORDER BY i) AS sizes FROM n GROUP BY doc_id),
 b AS (SELECT doc_id, rows, list_reduce(list_prepend({{'acc': 0, 'part': 0, 'parts': []::BIGINT[], 'n': 0}},
     list_transform(sizes, lambda s: {{'acc': 0, 'part': 0, 'parts': []::BIGINT[], 'n': s}})),
@@ -566,7 +576,7 @@ def _word_embedder():
 @query(
     f"""WITH {CHUNKS}, {merged_sql(LO, HI)}, k AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS idx,
-    CAST({words("replace(replace(text, chr(10) || chr(10), ' '), chr(10), ' ')")} AS DOUBLE) AS n FROM m)
+    CAST(len(string_split(replace(replace(text, chr(10) || chr(10), ' '), chr(10), ' '), ' ')) AS DOUBLE) AS n FROM m)
 """
     + " UNION ALL ".join(
         f"""SELECT '{namespace}' AS namespace, k.doc_id || '_' || idx AS id, k.text, {shown} AS shown,
@@ -602,7 +612,7 @@ def attach_metadata(spark, sf):
     return attach(conversation_chunks(spark, sf).select("doc_id", "pos", "text"), meta)
 
 
-@query(f"WITH {CHUNKS} SELECT doc_id, count(*) FILTER ({words('text')} > {HI}) AS n_oversize FROM c GROUP BY doc_id")
+@query(f"WITH {CHUNKS} SELECT doc_id, count(*) FILTER ({tokens('text')} > {HI}) AS n_oversize FROM c GROUP BY doc_id")
 def oversize_report(spark, sf):
     return merging.oversize_report(conversation_chunks(spark, sf), HI)
 

@@ -6,22 +6,38 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, paths, status, tokens, values
 from ..functions import text as tx
-from .registry import query, table, words
+from .registry import query, table
+from .registry import tokens as token_sql
 
 
 @query(
-    f"""SELECT doc_id, {words('text')} AS n_tokens,
-  array_to_string(string_split(text, ' ')[1:50], ' ') AS head FROM documents"""
+    f"""SELECT doc_id, {token_sql('text')} AS n_tokens, len(string_split(text, ' ')) AS n_words,
+  {token_sql("replace(text, ' ', '')")} AS n_unspaced, array_to_string(string_split(text, ' ')[1:50], ' ') AS head FROM documents"""
 )
 def token_count(spark, sf):
+    """The estimate is the same with and without spaces; words are counted by spaces."""
     docs = table(spark, sf, "documents")
     return docs.select(
         "doc_id",
-        tokens.word_count(F.col("text")).cast("long").alias("n_tokens"),
+        tokens.token_estimate(F.col("text")).cast("long").alias("n_tokens"),
+        tokens.word_count(F.col("text")).cast("long").alias("n_words"),
+        tokens.token_estimate(F.replace("text", F.lit(" "))).cast("long").alias("n_unspaced"),
         tokens.truncate_words(F.col("text"), 50).alias("head"),
     )
 
 
+@query()
+def bpe_token_count(spark, sf):
+    """Exact counts by the ranks of a public vocabulary, and the first 50 tokens as text."""
+    import public_tokenizers
+
+    path, text = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), F.col("text")
+    docs = table(spark, sf, "documents")
+    return docs.select(
+        "doc_id", tokens.bpe_counter(path)(text).alias("n_tokens"), tokens.bpe_truncate(path, 50)(text).alias("head")
+    )
+
+
 @query(
     """WITH k AS (SELECT page_id, url || '?q=a b+c*~%zz/é' AS key FROM pages),
 o AS (SELECT *, replace(url_encode(key), '%2F', '/') AS once FROM k)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.tokens import Counter, word_count
+from ..functions.tokens import Counter, token_estimate
 from .segments import Running, Whole, concat_ordered, number_rows, scan
 from .tables import tables_of
 
@@ -17,7 +17,7 @@ def merge_small_chunks(
     chunks: DataFrame,
     lo: int = LOW,
     hi: int = HIGH,
-    counter: Counter = word_count,
+    counter: Counter = token_estimate,
     label: str = "page_number",
     tables: bool = True,
     keep_text: bool = False,
@@ -106,7 +106,7 @@ def chunk_id() -> Column:
     return F.concat_ws("_", F.col("doc_id").cast("string"), F.col("idx").cast("string"))
 
 
-def oversize_report(chunks: DataFrame, hi: int = HIGH, counter: Counter = word_count) -> DataFrame:
+def oversize_report(chunks: DataFrame, hi: int = HIGH, counter: Counter = token_estimate) -> DataFrame:
     """Chunks per document whose plain text a merge would drop."""
     return chunks.groupBy("doc_id").agg(F.count_if(counter(F.col("text")) > hi).alias("n_oversize"))
 

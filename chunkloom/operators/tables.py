@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.tokens import Counter, word_count
+from ..functions.tokens import Counter, token_estimate
 
 # Elements that have no end tag.
 VOID_TAGS = {
@@ -478,7 +478,7 @@ def extract_tables(text: Column) -> Column:
     return run(text)
 
 
-def split_table_rows(table: Column, limit: int = 8100, counter: Counter = word_count) -> Column:
+def split_table_rows(table: Column, limit: int = 8100, counter: Counter = token_estimate) -> Column:
     """Array of sub-tables, header repeated, for a table that is too long."""
     count = counter.text
 
@@ -490,7 +490,7 @@ def split_table_rows(table: Column, limit: int = 8100, counter: Counter = word_c
     return run(table)
 
 
-def tables_of(text: Column, limit: int = 8100, counter: Counter = word_count) -> Column:
+def tables_of(text: Column, limit: int = 8100, counter: Counter = token_estimate) -> Column:
     """Array with the tables of a chunk, each below ``limit`` tokens; null text gives null."""
     count = counter.text
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions import text as tx
-from ..functions.tokens import Counter, truncate_words, word_count
+from ..functions.tokens import Counter, token_estimate, truncate_words
 from ..operators import enrich
 from ..operators.filters import blank_to_null_dropna, drop_empty_chunks, drop_last_chunk
 from ..operators.merging import HIGH, LOW, chunk_id, merge_small_chunks
@@ -122,7 +122,7 @@ def indexable_chunks(
     meta: DataFrame,
     lo: int = LOW,
     hi: int = HIGH,
-    counter: Counter = word_count,
+    counter: Counter = token_estimate,
     longest: int | None = None,
 ) -> DataFrame:
     """Merged, cleaned and numbered chunks with the published metadata fields.
@@ -157,7 +157,7 @@ def build_index(
     batch: int = 1000,
     lo: int = LOW,
     hi: int = HIGH,
-    counter: Counter = word_count,
+    counter: Counter = token_estimate,
     slice_entries: int = 500,
     longest: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:

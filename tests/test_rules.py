@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chunkloom import schemas
 from chunkloom.functions import dates, paths, status, values
 from chunkloom.functions import text as tx
-from chunkloom.functions.tokens import word_count
+from chunkloom.functions.tokens import token_estimate
 from chunkloom.operators import enrich, filters, joins, tables
 from chunkloom.plans import domains
 from chunkloom.sinks import records, writers
@@ -132,7 +132,7 @@ def row_by_row(html, limit):
     parts, part, used = [], pd.DataFrame(), 0
     for _, row in frame.iterrows():
         one = row.to_frame().T
-        size = word_count.text(one.to_html(index=False, border=0))
+        size = token_estimate.text(one.to_html(index=False, border=0))
         if used + size > limit and not part.empty:
             parts.append(part.to_html(index=False, border=0))
             part, used = pd.DataFrame(), 0
@@ -159,10 +159,10 @@ def test_split_table():
     ]
     for html in (typed, text, spans, *mixed):
         for limit in (1, 60, 150, 10_000):
-            assert tables.split_table(html, limit, word_count.text) == row_by_row(html, limit)
+            assert tables.split_table(html, limit, token_estimate.text) == row_by_row(html, limit)
     frame = tables.table_frame(*tables.table_lines(spans))
     assert list(frame.columns) == ["a", "b"] and list(frame["a"]) == ["x", "x"] and frame["b"][0] == 1000
-    assert tables.cut_to_size("<table></table>", 0, word_count.text) == []
+    assert tables.cut_to_size("<table></table>", 0, token_estimate.text) == []
 
 
 def test_page_elements():
