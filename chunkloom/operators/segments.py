@@ -8,14 +8,14 @@ a whole document runs over its block summaries, which are smaller than its rows
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-from ..session import cut_lineage
-
 BLOCK_ROWS = 50_000
 
 
@@ -188,32 +188,77 @@ def number_rows(
     return scan(df, key, pos, {name: index}, ties, attach=attach, longest=longest)
 
 
+SAMPLE_PER_RANGE = 64
+
+
+def _sort_key(df: DataFrame, item: Column | str) -> tuple[str, bool, bool]:
+    """Column, descending, nulls first of an item of an order."""
+    shown = item if isinstance(item, str) else str(item)[len("Column<'") : -len("'>")]
+    name, direction, nulls = re.fullmatch(r"(.+?)(?: (ASC|DESC) NULLS (FIRST|LAST))?", shown).groups()
+    if name not in df.columns:
+        raise ValueError(f"rows are ranked by columns, not by {shown}")
+    descending = direction == "DESC"
+    return name, descending, nulls == "FIRST" if nulls else not descending
+
+
+def _before(keys: list[tuple[str, bool, bool]], bound: Column) -> Column:
+    """Whether a row comes before a bound, which has the keys as its fields."""
+    out = F.lit(False)
+    for i, (name, descending, nulls_first) in reversed(list(enumerate(keys))):
+        own, other = F.col(name), bound.getField(f"k{i}")
+        less = F.coalesce(own > other if descending else own < other, F.lit(False))
+        # Null comes before or after every value.
+        less = less | (own.isNull() & other.isNotNull() if nulls_first else own.isNotNull() & other.isNull())
+        out = less | (own.eqNullSafe(other) & out)
+    return out
+
+
+def _range_of(df: DataFrame, order: tuple, wanted: int) -> Column:
+    """Number of the range that a row falls into; about ``wanted`` ranges of even size with literal bounds."""
+    keys = [_sort_key(df, o) for o in order]
+    names = [k[0] for k in keys]
+    # The rows of least hash are an even sample of bounded size, and the same one on every run.
+    sample = df.select(*names).orderBy(F.xxhash64(*names)).limit(SAMPLE_PER_RANGE * wanted).orderBy(*order).collect()
+    rows = [sample[i * len(sample) // wanted] for i in range(1, wanted)] if sample else []
+    rows = list(dict.fromkeys(tuple(r) for r in rows))
+    if not rows:
+        return F.lit(0)
+    types = [df.schema[n].dataType for n in names]
+
+    def literal(some: list[tuple]) -> Column:
+        kind = T.ArrayType(T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)]))
+        return F.array(*[F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(r)]) for r in some]).cast(kind)
+
+    def upto(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: ~_before(keys, b)))
+
+    # Two steps of about the square root of all bounds each.
+    step = max(int(len(rows) ** 0.5), 1)
+    heads, groups = rows[::step], [literal(rows[i + 1 : i + step]) for i in range(0, len(rows), step)]
+    coarse = upto(literal(heads))
+    fine = upto(F.get(F.array(*groups), coarse - 1))
+    return F.when(coarse > 0, (coarse - 1) * step + 1 + fine).otherwise(0)
+
+
 def rank_all(df: DataFrame, *order: Column | str, partitions: int | None = None) -> DataFrame:
     """Number all rows from 1 in one global order; adds ``rn`` and ``n_rows``.
 
-    Rows are range-partitioned and sorted in place, so no task sees more than its own range. The ranges
-    are fixed by a reliable checkpoint, because two evaluations could cut them differently. ``order``
-    must identify a row, otherwise equal rows cannot be split over ranges.
+    Bounds from a small sample of the keys cut the order into ranges. They become literals of the plan, so every
+    evaluation cuts alike and no row has to be stored: one pass counts the rows of each range, which gives its first
+    number, and rows are numbered within their range. The sample and the counts, both of the number of ranges, are all
+    that the driver sees. ``order`` must identify a row, otherwise equal rows cannot be split over ranges; its items
+    are columns of ``df``, with a direction or without.
     """
     wanted = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(wanted, *order).sortWithinPartitions(*order)
-    placed = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()))
-    part, offset = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition: the window without keys sees only these counts.
-    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = counts.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(total).alias("n_rows"),
-    )
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .withColumn("rn", F.col("_start") + offset + 1)
-        .select(*df.columns, "rn", "n_rows")
-    )
+    placed = df.withColumn("_range", _range_of(df, order, wanted))
+    counts = dict(placed.groupBy("_range").count().collect())
+    starts, total = [], 0
+    for i in range(max(counts, default=0) + 1):
+        starts.append(total)
+        total += counts.get(i, 0)
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    first = F.get(F.lit(starts).cast("array<bigint>"), F.col("_range"))
+    return placed.withColumn("rn", first + inside).withColumn("n_rows", F.lit(total).cast("long")).drop("_range")
 
 
 def concat_ordered(piece: str, order: list[str], sep: str = "") -> Column:

@@ -134,6 +134,23 @@ def test_rank_all(spark):
     assert sorted(r.rn for r in rows) == list(range(1, 5001)) and {r.n_rows for r in rows} == {5000}
 
 
+@pytest.mark.parametrize("partitions", [1, 2, 9, 40])
+def test_ranks_of_mixed_keys(spark, partitions):
+    """Text, nulls and directions, with a third of all rows under one first key; the same on every run, nothing stored."""
+    rng = random.Random(partitions)
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 == 0 else rng.choice(["a", "b", "é", "zz"]), rng.choice([None, 1, 2]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "a string, b int, c int").repartition(5)
+    for order in (("a", F.desc("b"), "c"), (F.desc_nulls_first("a"), F.asc_nulls_last("b"), F.desc("c"))):
+        whole = df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).withColumn("n_rows", F.lit(700).cast("long"))
+        ranked = segments.rank_all(df, *order, partitions=partitions)
+        assert sorted(ranked.collect(), key=str) == sorted(whole.collect(), key=str) == sorted(ranked.collect(), key=str)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert ("SinglePartition" in plan) == (partitions == 1)
+    with pytest.raises(ValueError):
+        segments.rank_all(df, F.col("c") + 1)
+
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_attach_tables(spark, seed):
     docs = documents(seed, lambda rng: (rng.random() < 0.5, text_of(rng), rng.choice([None, "<t>"])))
