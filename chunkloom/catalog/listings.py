@@ -10,7 +10,7 @@ from ..functions import paths
 from ..operators import aggregates, checks, filters, joins, sets
 from ..session import shared_dir
 from ..sinks import records, writers
-from ..sources import readers
+from ..sources import listing, readers
 from .registry import CHUNKS, conversation_chunks, query, table
 
 
@@ -132,10 +132,18 @@ def object_count(spark, sf):
     return aggregates.object_count(table(spark, sf, "pages").select(F.col("url").alias("path")), "https://")
 
 
-@query()
+@query(
+    """SELECT coalesce(source, 'none') || '/' || doc_id || '.txt' AS path,
+  CASE WHEN doc_id % 50 = 0 THEN 0 ELSE coalesce(strlen(text), 0) END AS size
+FROM documents"""
+)
 def list_artifacts(spark, sf):
-    """The files of the table folder itself."""
-    return readers.list_artifacts(spark, sf, ".parquet").select("path", "size")
+    """Documents written as files, a folder for each source and some files empty, and the listing of them all."""
+    folder = _new_folder(spark)
+    path = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.col("doc_id"), F.lit(".txt"))
+    files = table(spark, sf, "documents").select(path.alias("path"), F.when(F.col("doc_id") % 50 != 0, F.col("text")).alias("content"))
+    listing.write_files(files, folder).agg(F.sum("size")).collect()
+    return readers.list_artifacts(spark, folder, ".txt").select("path", "size")
 
 
 @query(f"WITH {CHUNKS} SELECT doc_id, pos, title, text, page_number FROM c")

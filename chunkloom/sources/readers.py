@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators.segments import rank_all
+from .listing import list_files
 
 
 def scan_pending(
@@ -23,23 +24,8 @@ def scan_pending(
 
 
 def list_artifacts(spark: SparkSession, root: str, suffix: str = "", prefix: str = "") -> DataFrame:
-    """``path`` (relative to the root), ``size`` and ``modified`` of the files below a folder.
-
-    The file contents are pruned from the scan. Spark's file index leaves out empty files, so an empty
-    artefact looks like a missing one.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
-        .select("path", "length", "modificationTime")
-    )
-    base = root.rstrip("/") + "/"
-    inside = F.substring(F.col("path"), F.locate(base, F.col("path")) + len(base), F.length("path"))
-    return files.select(
-        inside.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
-    ).filter(F.col("path").startswith(prefix))
+    """``path`` (relative to the root), ``size`` and ``modified`` of the files below a folder, empty ones included."""
+    return list_files(spark, root, suffix, prefix)
 
 
 # The shapes of a stored chunk list, as the type of one chunk.
