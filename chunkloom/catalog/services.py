@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import text as tx
 from ..operators import enrich, merging
 from ..plans import domains
+from ..session import shared_dir
 from ..sinks import records
 from .registry import CHUNKS, conversation_chunks, query, table
 
@@ -33,6 +38,33 @@ def embed_chunks(spark, sf):
     )
 
 
+@query(
+    f"""WITH {CHUNKS}, d AS (SELECT DISTINCT replace(replace(text, chr(10) || chr(10), ' '), chr(10), ' ') AS asked FROM c)
+SELECT 'asked' AS what, count(*) AS n FROM d UNION ALL SELECT 'asked again', 0 UNION ALL SELECT 'answered', (SELECT count(*) FROM c)
+UNION ALL SELECT 'values', (SELECT CAST(sum(len(text) + len(text) - len(replace(replace(text, chr(10), ' '), ' ', ''))) AS BIGINT) FROM c)"""
+)
+def embed_chunks_once(spark, sf):
+    """Each different text is asked for once, though its rows come twice and are embedded by two builds."""
+    from ..operators import ledger
+
+    folder = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    chunks = conversation_chunks(spark, sf)
+    asked = tx.flatten_newlines(F.coalesce("text", F.lit("")))
+    twice = chunks.unionByName(chunks).select(asked.alias("request"))
+    vector = [T.StructField("embedding", T.ArrayType(T.DoubleType()))]
+
+    def plain(reply, n):
+        return [([float(x) for x in item["embedding"][:3]],) for item in sorted(reply, key=lambda r: r["index"])]
+
+    counts = [ledger.ask(twice, folder, _shape_embedder, plain, vector, 32) for _ in range(2)]
+    done = ledger.answered_rows(chunks.withColumn("_asked", asked), "_asked", folder, vector).where("error is null")
+    total = done.agg(F.count("*").alias("n"), F.sum(F.col("embedding")[0] + F.col("embedding")[1]).cast("long").alias("v"))
+    named = F.explode(F.array(*[F.struct(F.lit(w).alias("what"), x.alias("n")) for w, x in (
+        ("asked", F.lit(counts[0])), ("asked again", F.lit(counts[1])), ("answered", F.col("n")), ("values", F.col("v")),
+    )]))
+    return total.select(named.alias("r")).select("r.what", F.col("r.n").cast("long").alias("n"))
+
+
 def _line_parser():
     """One chunk per line and an empty one; texts without a line break lack the full text."""
 

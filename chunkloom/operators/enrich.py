@@ -2,7 +2,7 @@
 
 A client is made once per partition from a factory and is a callable on a list of requests. What it
 raises, or a reply that breaks the contract, ends up in the ``error`` column of the rows concerned; no
-row is lost. Replies are not repeatable: write the result before using it twice.
+row is lost. Replies are not repeatable: give a ``ledger``, or write the result before using it twice.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from . import ledger as answers
 
 
 class ContractError(RuntimeError):
@@ -51,8 +52,17 @@ def call_service(
     batch: int = 1,
     attempts: int = 1,
     wait: float = 0.0,
+    ledger: str | None = None,
 ) -> DataFrame:
-    """Add ``fields`` and ``error``. ``read_reply(reply, n)`` gives one tuple per request of the batch."""
+    """Add ``fields`` and ``error``. ``read_reply(reply, n)`` gives one tuple per request of the batch.
+
+    With a ``ledger`` (a folder all workers reach) the service is asked here and now, once for each different
+    request the ledger cannot answer, and the result is read from it; else each use of the result asks.
+    """
+    if ledger is not None:
+        kept = df.select(F.col(request).alias("request"))
+        answers.ask(kept, ledger, lambda: with_retry(make_client(), attempts, wait), read_reply, fields, batch)
+        return answers.answered_rows(df, request, ledger, fields)
     names = [f.name for f in fields]
     schema = T.StructType([*df.schema.fields, *fields, T.StructField("error", T.StringType())])
 

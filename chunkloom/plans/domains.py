@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -15,10 +16,14 @@ from ..operators import enrich
 from ..operators.filters import blank_to_null_dropna, drop_empty_chunks, drop_last_chunk
 from ..operators.merging import HIGH, LOW, chunk_id, merge_small_chunks
 from ..operators.segments import concat_ordered
-from ..session import cut_lineage
+from ..session import shared_dir
 from ..sinks import records
 
 
+def new_ledger(df: DataFrame) -> str:
+    return f"{shared_dir(df.sparkSession)}/ledger-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class Domain:
     """``meta`` maps each published field to an expression over the columns of the metadata table."""
@@ -160,11 +165,12 @@ def build_index(
     counter: Counter = token_estimate,
     slice_entries: int = 500,
     longest: int | None = None,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Full-text actions, vector records and failed chunks of one kind of source.
 
-    Vectors are made only with a client; persist or write the vector records once, since each action
-    on them asks the service again.
+    Vectors are made only with a client. It is asked here, once for each different text that the ``ledger`` (a
+    folder; a new one by default) has no answer to; all results are read from there.
     """
     domain = DOMAINS[name]
     ready = indexable_chunks(name, chunks, meta, lo, hi, counter, longest)
@@ -172,7 +178,9 @@ def build_index(
     if make_client is None:
         return fulltext, None, None
     swapped = {f: F.col(f"_vector_{f}") for f in domain.vector_meta}
-    embedded = enrich.embed_chunks(ready.withColumns(swapped), make_client, dims, batch, attempts=3, wait=2.0)
+    embedded = enrich.embed_chunks(
+        ready.withColumns(swapped), make_client, dims, batch, attempts=3, wait=2.0, ledger=ledger or new_ledger(chunks)
+    )
     vectors = records.vector_records(embedded, domain.namespace, domain.fields)
     errors = embedded.filter(F.col("error").isNotNull()).select("doc_id", "chunk_id", "error")
     return fulltext, vectors, errors
@@ -190,9 +198,13 @@ def patent_rows(patents: DataFrame, limit: int = 8192, truncate: Callable = trun
 
 
 def build_patent_index(
-    patents: DataFrame, make_client: Callable | None = None, dims: int = 1536, batch: int = 1000
+    patents: DataFrame,
+    make_client: Callable | None = None,
+    dims: int = 1536,
+    batch: int = 1000,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """One row per patent, its id is the publication number."""
+    """One row per patent, its id is the publication number; the ``ledger`` is that of ``build_index``."""
     complete = blank_to_null_dropna(patents).withColumn(
         "publication_date", F.col("publication_date").try_cast("long")
     )
@@ -200,7 +212,9 @@ def build_patent_index(
     if make_client is None:
         return fulltext, None
     asked = patent_rows(patents).withColumn("text", F.col("abstract"))
-    embedded = enrich.embed_chunks(asked, make_client, dims, batch, attempts=10, wait=3.0)
+    embedded = enrich.embed_chunks(
+        asked, make_client, dims, batch, attempts=10, wait=3.0, ledger=ledger or new_ledger(patents)
+    )
     return fulltext, records.vector_records(embedded, "patent", PATENT_FIELDS, "publication_number")
 
 
@@ -214,6 +228,7 @@ def build_knowledge_base(
     parser_version: str = "1",
     model: str = "default",
     part_chunks: int = 10_000,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Artefacts of parsed documents: file parts, manifest entries, manifests, failed chunks and vectors.
 
@@ -221,10 +236,11 @@ def build_knowledge_base(
     others embedded and written as JSON lines without their vectors. A file holds the lines of
     ``part_chunks`` positions, so no document has to fit one task; documents that are not longer have
     one file, named after the artefact. A document with a failed chunk has no artefacts and no vectors.
-    The service is asked here, once for each chunk; all results are derived from its stored answers.
+    The service is asked here, once for each different text that the ``ledger`` (a folder; a new one by default) has
+    no answer to; all results are derived from the stored answers.
     """
     kept = drop_empty_chunks(chunks)
-    embedded = cut_lineage(enrich.embed_chunks(kept, make_client, dims, batch))
+    embedded = enrich.embed_chunks(kept, make_client, dims, batch, ledger=ledger or new_ledger(chunks))
     errors = embedded.filter(F.col("error").isNotNull()).select("doc_id", "pos", "error")
     embedded = embedded.join(errors.select("doc_id").distinct(), "doc_id", "left_anti").drop("error")
     vectors = embedded.select("doc_id", "pos", "embedding")
