@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, paths, status, tokens, values
 from ..functions import text as tx
-from .registry import query, table
+from .registry import ELEMENTS, document_elements, query, table
 from .registry import tokens as token_sql
 
 
@@ -177,7 +177,7 @@ def epoch_dates(spark, sf):
     orders = table(spark, sf, "orders").withColumn("text", text)
     return orders.select(
         "o_orderkey",
-        dates.wall_epoch(F.col("o_orderdate")).alias("epoch_seconds"),
+        dates.to_epoch(F.col("o_orderdate")).alias("epoch_seconds"),
         dates.to_unix_or_now(F.col("text"), 1700000000).alias("parsed"),
         F.when(state == "F", dates.year_month(F.col("text")).cast("string")).alias("month"),
     )
@@ -196,6 +196,33 @@ def join_names(spark, sf):
     )
 
 
+@query(
+    """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) - 7200 AS instant, CAST(floor(epoch(ts)) AS BIGINT) AS wall FROM events"""
+)
+def epoch_instants(spark, sf):
+    """Instants written down two hours east of Greenwich, and the same times without a zone."""
+    written = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))
+    events = table(spark, sf, "events").withColumn("instant", F.to_timestamp_ltz(written, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSSXXX")))
+    return events.select(
+        "event_id", dates.to_epoch(F.col("instant")).alias("instant"), dates.to_epoch(F.col("ts").cast("timestamp_ntz")).alias("wall")
+    )
+
+
+@query(
+    f"""WITH {ELEMENTS}, q AS (
+  SELECT doc_id, pos, CASE WHEN pos % 3 = 1 THEN text || ' [q-' || pos || '] [x]' ELSE text END AS text FROM e),
+r AS (SELECT doc_id, pos, translate(text, '[]', chr(39) || chr(39)) AS text FROM q),
+f AS (SELECT doc_id, arg_min(text, pos) AS text FROM r WHERE contains(text, 'an') GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text LIKE '%' || chr(39) || '%' || chr(39) || '%' THEN string_split(text, chr(39))[2] ELSE text END AS quoted FROM f"""
+)
+def first_quoted_elements(spark, sf):
+    """The first element with the marker may stand anywhere; some quote a name, others are the name."""
+    name = F.concat("text", F.lit(" 'q-"), F.col("pos"), F.lit("' 'x'"))
+    elements = document_elements(spark, sf).withColumn("text", F.when(F.col("pos") % 3 == 1, name).otherwise(F.col("text")))
+    elements = elements.withColumn("text", F.translate("text", "[]", "''"))
+    return tx.first_quoted_of(elements, "an")
+
+
 @query(
     """SELECT conv_id, turn, substr(text, 1, 40) AS clipped,
   CASE WHEN role = 'user' THEN 'r-' || turn END AS quoted,

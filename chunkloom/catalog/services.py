@@ -70,7 +70,7 @@ def _line_parser():
 
     def call(requests):
         text = bytes(requests[0]).decode()
-        reply = {"result": [{"text": x, "page_number": 1} for x in text.split("\n")] + [{"text": " "}, {}]}
+        reply = {"result": [{"text": x, "page_number": 1} for x in text.split("\n")] + [{"text": " "}, {}, 7, None]}
         return reply | ({"txt": text} if "\n" in text else {})
 
     return call
@@ -78,7 +78,7 @@ def _line_parser():
 
 @query(
     """WITH k AS (SELECT doc_id, text, len(string_split(text, chr(10))) AS n, contains(text, chr(10)) AS ok FROM documents)
-SELECT doc_id, CASE WHEN ok THEN len(text) END AS txt_chars, CASE WHEN ok THEN n + 2 END AS original,
+SELECT doc_id, CASE WHEN ok THEN len(text) END AS txt_chars, CASE WHEN ok THEN n + 4 END AS original,
   CASE WHEN ok THEN 2 END AS dropped, CASE WHEN NOT ok THEN 'parser response missing txt' END AS error FROM k"""
 )
 def parse_documents(spark, sf):

@@ -26,8 +26,11 @@ def wall_epoch(ts: Column) -> Column:
 
 
 def to_epoch(ts: Column) -> Column:
-    """Epoch seconds of an instant, fraction dropped."""
-    return F.unix_timestamp(ts)
+    """Epoch seconds, fraction dropped: of an instant as it is, of a zone-less time as if it were UTC.
+
+    Neither depends on the session's time zone; the kind of the column is known when the query is planned.
+    """
+    return F.when(F.typeof(ts) == "timestamp", F.unix_timestamp(ts)).otherwise(wall_epoch(ts))
 
 
 def to_unix_or_now(text: Column, now: Column | int) -> Column:

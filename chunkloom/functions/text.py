@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters a strip removes (all Unicode white space).
@@ -158,6 +158,18 @@ def first_quoted(text: Column) -> Column:
     return F.when(text.rlike(r"'(.*?)'"), F.regexp_extract(text, r"'(.*?)'", 1))
 
 
+def first_quoted_of(elements: DataFrame, marker: str, order: str = "pos") -> DataFrame:
+    """``doc_id, quoted`` of each document with an element that contains ``marker``, wherever it stands.
+
+    The first such element by ``order`` decides: what it has between its first pair of single quotes, or its whole
+    text if it has none. Elements without the marker are dropped before anything is shuffled, and of the others each
+    task keeps one a document.
+    """
+    held = elements.where(F.contains("text", F.lit(marker)))
+    first = held.groupBy("doc_id").agg(F.min_by("text", order).alias("_text"))
+    return first.select("doc_id", F.coalesce(first_quoted(F.col("_text")), "_text").alias("quoted"))
+
+
 def page_prefix(page: Column, text: Column) -> Column:
     """``Page p: text`` when the page is known and not zero."""
     known = F.coalesce(page.cast("string"), F.lit("")).isin("", "0") == F.lit(False)

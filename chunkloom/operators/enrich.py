@@ -109,6 +109,10 @@ def parse_documents(
             raise ContractError("parser response missing txt")
         kept = []
         for item in result:
+            if not isinstance(item, (dict, str)):
+                # What is neither text nor an object is no empty text; it stays, as JSON.
+                kept.append({"text": json.dumps(item, ensure_ascii=False), "page_number": None})
+                continue
             text = item.get("text") if isinstance(item, dict) else item
             if isinstance(text, str) and text.strip():
                 kept.append({"text": text, "page_number": item.get("page_number") if isinstance(item, dict) else None})

@@ -25,9 +25,14 @@ def abnormal_first(results: DataFrame, issues: str = "issues", tie: str = "path"
     return results.orderBy((F.size(issues) == 0).asc(), tie)
 
 
-def restore_response_order(responses: DataFrame) -> DataFrame:
-    """Pair each response with the request of its batch that it answers: ``batch, slot`` from ``index``."""
-    return responses.withColumn("slot", F.coalesce("index", F.lit(0)))
+def restore_response_order(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """Each request ``batch, slot, ...`` with the response ``batch, index, ...`` that answers it.
+
+    A response without an index answers the first request of its batch. Requests without a response stay, with nulls;
+    responses that answer no request are left out.
+    """
+    answers = responses.withColumn("slot", F.coalesce("index", F.lit(0)).cast(requests.schema["slot"].dataType))
+    return requests.join(answers.drop("index"), ["batch", "slot"], "left")
 
 
 def sample(df: DataFrame, n: int = 100, *order: str) -> DataFrame:

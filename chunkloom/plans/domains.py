@@ -47,7 +47,7 @@ def _col(name: str) -> Callable[[], Column]:
 
 
 def _epoch(name: str) -> Callable[[], Column]:
-    return lambda: dates.wall_epoch(F.col(name))
+    return lambda: dates.to_epoch(F.col(name))
 
 
 def _parsed(name: str) -> Callable[[], Column]:
