@@ -6,7 +6,7 @@ same anchor make a run; a run's text is a snippet. Snippets of one anchor meet i
 counted together, and the operator's matcher decides exactly which windows of each snippet occur twice. Each window
 of the corpus lies in exactly one run, so the weights of the snippets are the true numbers of occurrences. An
 anchor with very many different snippets (the edge of a passage that stands in very many texts) has no shard that a
-single task would have to gather: its windows are settled by ``settle``, which halves ranges of windows and counts
+single task would have to gather: its windows are settled by ``settle``, which quarters ranges of windows and counts
 digests.
 """
 
@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BYTE_VALUES, KEY, chunks, grams, row_key, text_bytes, with_columns_renamed, words_of, written
 
+STEP = 2  # bits of the lead that one level decides
 HOT = 300  # different snippets of an anchor above which it has no shard
 
 
@@ -151,14 +152,20 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
     """Verdicts for distinct snippets (anchor, low, high, snippet, weight) of anchors that have very many.
 
     Ranges of windows are tested level by level. A range whose core occurs once holds no repeated window; a range
-    that occurs twice as a whole holds only such, and one of its copies goes on for the others; the rest are halved,
-    down to single windows. Each level has at
-    most a few rows for a snippet, counted by 128-bit digests with partial sums, so no key has to be gathered.
+    that occurs twice as a whole holds only such, and one of its copies goes on for the others; the rest are cut in
+    four, down to single windows. Each level has at most a few rows for a snippet, counted by 128-bit digests with
+    partial sums, so no key has to be gathered; what is left of a level is written once for all that follows from it.
+    The whole of a snippet is not tested: its core is the anchor alone, which all share.
     """
     levels = (unit.window - unit.gram).bit_length()
-    parts = hot.select(*CODE, F.lit(0).alias("part"))
+    level = (levels - 1) // STEP * STEP
+
+    def cut(part: Column | int, n: int) -> Column:
+        return F.explode(F.array(*[F.lit(part) * n + i for i in range(n)])).alias("part")
+
+    parts = hot.select(*CODE, cut(0, 1 << (levels - level)))
     found = []
-    for level in range(levels, -1, -1):
+    while True:
 
         def probe(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -176,7 +183,7 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
         rows = parts.join(hot, CODE).select(*CODE, "part", "snippet", "weight")
         rows = written(rows.mapInArrow(probe, PROBE), "probes")
         cores = rows.groupBy("c_low", "c_high").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
-        rows = rows.join(cores, ["c_low", "c_high"])
+        rows = written(rows.join(cores, ["c_low", "c_high"]), "shared")
         if level == 0:
             found.append(rows.select(*CODE, "begins", "ends"))
             break
@@ -186,8 +193,8 @@ def settle(hot: DataFrame, unit: Unit) -> DataFrame:
         rest = rows.join(wholes, ["w_low", "w_high"], "left_anti").select(*CODE, "part")
         # One range of each whole goes on too: others may share some of its windows only.
         going = rest.unionByName(wholes.select("one.*"))
-        halves = F.explode(F.array(F.col("part") * 2, F.col("part") * 2 + 1)).alias("part")
-        parts = written(going.select(*CODE, halves).distinct(), "parts")
+        parts = written(going.select(*CODE, cut(F.col("part"), 1 << STEP)).distinct(), "parts")
+        level -= STEP
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
