@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from chunkloom.functions.tokens import word_count
 from chunkloom.operators import filters, merging, sections, segments
 from chunkloom.operators.joins import attach_metadata
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def test_merge(spark, seed, longest, broadcast_limit):
     docs = documents(seed, make)
     docs |= {2000: ["a"], 2001: ["a b"] * 9, 2002: ["a b c d e f g h"] * 4, 2003: ["a b c"], 2004: ["a b c d e f"]}
     meta = spark.createDataFrame([(d, f"m{d}") for d in docs if d != 3], "doc_id long, name string")
-    merged = merging.merge_small_chunks(chunk_frame(spark, docs), LO, HI, meta=meta, longest=longest)
+    merged = merging.merge_small_chunks(chunk_frame(spark, docs), LO, HI, word_count, meta=meta, longest=longest)
     got = {}
     for r in merged.collect():
         got.setdefault(r.doc_id, []).append((r.idx, r.pos, r.sub, r.text, r.page_number))
@@ -85,9 +86,9 @@ def test_merge(spark, seed, longest, broadcast_limit):
 def test_merge_keeps_text_and_counts(spark):
     docs = {0: ["a b c d e f g h", "a", "a b c"]}
     frame = chunk_frame(spark, docs)
-    kept = merging.merge_small_chunks(frame, LO, HI, keep_text=True).orderBy("idx").collect()
+    kept = merging.merge_small_chunks(frame, LO, HI, word_count, keep_text=True).orderBy("idx").collect()
     assert [r.text for r in kept] == ["a b c d e f g h", "a a b c"]
-    assert merging.oversize_report(frame, HI).first().n_oversize == 1
+    assert merging.oversize_report(frame, HI, word_count).first().n_oversize == 1
     counted = frame.withColumn("n_tokens", F.lit(5))
     assert merging.merge_small_chunks(counted, LO, HI).count() == 3
 

@@ -378,7 +378,7 @@ def test_readers(spark, tmp_path):
     found = readers.scan_raw_documents(spark, str(tmp_path / "raw"), meta, ".pdf").collect()
     assert [(r.doc_id, bytes(r.content), r.size, r.n) for r in found] == [("a", b"123", 3, 1)]
     listing = readers.list_artifacts(spark, str(tmp_path / "raw"), ".pdf")
-    assert {(r.path, r["size"]) for r in listing.collect()} == {("a.v1.pdf", 3)}  # empty files are not listed
+    assert {(r.path, r["size"]) for r in listing.collect()} == {("a.v1.pdf", 3), ("b.pdf", 0)}
     assert [r.doc_id for r in readers.missing_documents(listing, meta).collect()] == ["c"]
 
     (tmp_path / "json").mkdir()
@@ -446,5 +446,6 @@ def test_clear_namespace_with_escaped_characters(spark, tmp_path):
 
 
 def test_table_that_cannot_be_read_stays_whole():
-    broken = "<table></table>"
+    broken = "<table><caption>no rows, but words</caption></table>"
     assert tables.cut_to_size(broken, 0, len) == [broken]
+    assert tables.cut_to_size("<table></table>", 0, len) == []  # holds nothing
