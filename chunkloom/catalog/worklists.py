@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, filters, joins, sets, shards, vectors
 from ..plans import domains
-from ..sources import readers
+from ..session import shared_dir
+from ..sources import pages, readers
+from ..streaming import documents
 from .registry import query, table
 
 
@@ -191,6 +195,26 @@ def export_incremental(spark, sf):
     return readers.export_incremental(table(spark, sf, "customer"), "c_custkey", last).select("c_custkey", "c_name")
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def export_pages(spark, sf):
+    """Customers exported page by page; stopped after the first batches and resumed from the last key."""
+    folder, path = f"{shared_dir(spark)}/{uuid.uuid4().hex}", f"{sf}/customer.parquet"
+    pages.plan_pages(table(spark, sf, "customer"), "c_custkey", f"{folder}/pages", 1000)
+
+    def start(per_batch):
+        rows = pages.stream_pages(spark, path, "c_custkey", f"{folder}/pages", ["c_custkey", "c_name", "c_acctbal"], per_batch)
+        return pages.export_pages(rows, f"{folder}/out", f"{folder}/state")
+
+    for per_batch in (1, 4):
+        run = start(per_batch)
+        while per_batch == 1 and run.isActive and not run.lastProgress:
+            run.awaitTermination(0.2)
+        if per_batch > 1:
+            run.processAllAvailable()
+        run.stop()
+    return documents.current_rows(spark, f"{folder}/out").select("c_custkey", "c_name", "c_acctbal")
+
+
 @query("SELECT page_id, url FROM pages")
 def scan_table(spark, sf):
     return readers.scan_table(spark, f"{sf}/pages.parquet", ["page_id", "url"])

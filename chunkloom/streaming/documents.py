@@ -24,22 +24,19 @@ def publish_batches(
     out: str,
     checkpoint: str,
     mode: str = "append",
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Run ``transform`` on every micro-batch and write its rows under the number of the batch.
 
-    A batch that is run again after a failure replaces its own folder, so rows are published once.
+    A batch that is run again after a failure replaces its own folder, so rows are published once. The query ends
+    with what is there now, or goes on for what comes later (``available_now`` false).
     """
 
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def current_rows(spark: SparkSession, out: str) -> DataFrame:
