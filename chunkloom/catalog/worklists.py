@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, filters, joins, sets, shards, vectors
 from ..plans import domains
+from ..plans.pending import PendingIndex
 from ..session import shared_dir
+from ..sinks import changes
 from ..sources import pages, readers
 from ..streaming import documents
 from .registry import query, table
@@ -215,6 +217,32 @@ def export_pages(spark, sf):
     return documents.current_rows(spark, f"{folder}/out").select("c_custkey", "c_name", "c_acctbal")
 
 
+@query(
+    """WITH k AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(text) AS size, coalesce(toxic, 0) = 1 AS bad,
+  CASE WHEN doc_id % 2 = 1 OR doc_id % 10 = 0 THEN 3 ELSE 1 END AS version FROM documents LEFT JOIN labels USING (doc_id))
+SELECT doc_id, version, CASE WHEN NOT bad THEN size END AS size, CASE WHEN bad THEN 'toxic' END AS error FROM k"""
+)
+def index_pending(spark, sf):
+    """Half of the documents, then the others and some that changed, then no news; toxic ones fail."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    docs = table(spark, sf, "documents").select("doc_id", F.length("text").cast("long").alias("size"))
+    docs = docs.join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    index = PendingIndex(f"{folder}/log", f"{folder}/index")
+
+    def build(waiting):
+        rows = waiting.select(F.col("doc_id").cast("long").alias("doc_id")).join(docs, "doc_id")
+        return rows.withColumn("error", F.when(F.col("toxic") == 1, F.lit("toxic"))).drop("toxic")
+
+    for day, some in enumerate(("doc_id % 2 = 0", "doc_id % 2 = 1 or doc_id % 10 = 0", None)):
+        if some:
+            at = F.lit(f"2024-01-0{day + 1}").cast("timestamp")
+            changes.append_version(docs.where(some).select("doc_id", F.lit("upload").alias("stage"), at.alias("at")), f"{folder}/log")
+        index.run(spark, build)
+    rows = index.rows(spark).select("doc_id", "version", "size", F.lit(None).cast("string").alias("error"))
+    failed = index.skipped(spark).select("doc_id", "version", F.lit(None).cast("long").alias("size"), "error")
+    return rows.unionByName(failed)
+
+
 @query("SELECT page_id, url FROM pages")
 def scan_table(spark, sf):
     return readers.scan_table(spark, f"{sf}/pages.parquet", ["page_id", "url"])
