@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from ..session import cut_lineage
 from .segments import scan
 
 try:
@@ -105,9 +107,12 @@ def rename_plan(listing: DataFrame, id_map: DataFrame, suffix: str = "") -> Data
 
 # Keys up to this many bytes are sent to every task; larger key sets are joined instead.
 MAX_KEY_BYTES = 4 * 1024 * 1024
-# Texts are cut into overlapping pieces of this many characters before their grams are taken, since
-# finding a position in a string takes time in proportion to the position.
-PIECE = 512
+# The filter of grams that is sent to every task takes 8 MiB at most, whatever the number of keys.
+FILTER_BITS = 26
+# A gram that more than this share of all lookups ask for is dealt over so many tasks; there can be 200 of them.
+HOT_SHARE, SALTS = 0.005, 32
+# Code points of a text that are hashed at once.
+GRAM_BLOCK = 1 << 20
 
 
 def semi_by_substring(
@@ -147,44 +152,88 @@ def _match_sent_keys(items: DataFrame, words: list[str], text: str) -> DataFrame
     return items.filter(holds(F.col(text)))
 
 
+def _gram_hashes(points: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of each run of ``size`` code points."""
+    n = len(points) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    total = np.full(n, np.uint64(size))
+    for j in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + points[j : j + n]
+    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return total ^ (total >> np.uint64(29))
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _gram_filter(anchors: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits of the anchors' grams as 64-bit words, and the number of leading bits of a hash that name a bit."""
+    count = anchors.agg(F.count_distinct("_gram")).first()[0]
+    bits = min(FILTER_BITS, max(10, (16 * count).bit_length()))
+    slot = f"shiftrightunsigned(_gram, {64 - bits})"
+    words = anchors.selectExpr(f"shiftright({slot}, 6) AS word", f"shiftleft(1L, cast({slot} & 63 AS int)) AS bit")
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    held = np.zeros(1 << (bits - 6), np.uint64)
+    held[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return held, bits
+
+
 def _match_joined_keys(items: DataFrame, words: DataFrame, text: str, gram: int) -> DataFrame:
     """Look every key up by the one of its character grams that fewest keys share.
 
-    Texts are exploded into gram hashes only; a text and a key meet when the text holds that gram, and
-    only such candidates are tested whole. Keys shorter than ``gram`` are looked up by their own length.
-    Rows are known by a digest of their text; equal texts are looked up once.
+    A filter of these grams is sent to the tasks, so that of a text only grams that may be a key's leave its task, and
+    of the rows only those that have some. A text and a key meet when the text holds that gram; only such candidates
+    are tested whole. A gram that very many texts hold is dealt over several tasks. Keys shorter than ``gram`` are
+    looked up by their own length. Rows are known by a digest of their text; equal texts are looked up once.
     """
 
-    def grams(value: Column, size: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(value) - size + 1)
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(value, i, size), size)))
+    @F.pandas_udf("array<bigint>")
+    def key_grams(keys: pd.Series) -> pd.Series:
+        points = keys.map(_code_points)
+        return points.map(lambda p: np.unique(_gram_hashes(p, min(len(p), gram))).view(np.int64))
 
     size = F.least(F.length("_key"), F.lit(gram))
-    parts = words.select("_key", size.alias("_size"), F.explode(grams(F.col("_key"), size)).alias("_gram"))
+    parts = words.select("_key", size.alias("_size"), F.explode(key_grams("_key")).alias("_gram"))
     shared = parts.groupBy("_gram").agg(F.count("*").alias("_keys"))
-    anchors = (
-        parts.join(shared, "_gram")
-        .groupBy("_key", "_size")
-        .agg(F.min_by("_gram", F.struct("_keys", "_gram")).alias("_gram"))
-    )
+    anchors = parts.join(shared, "_gram").groupBy("_key", "_size").agg(F.min_by("_gram", F.struct("_keys", "_gram")).alias("_gram"))
+    anchors = cut_lineage(anchors)
     # At most `gram` different sizes exist, so this list is short.
-    sizes = [r[0] for r in anchors.select("_size").distinct().collect()]
-    digest, body, piece = F.sha2(F.col(text), 256), F.col("_body"), F.col("_piece")
-    bodies = items.select(digest.alias("_row"), F.col(text).alias("_body")).filter("_body is not null")
-    bodies = bodies.groupBy("_row").agg(F.any_value("_body").alias("_body"))
-    starts = F.sequence(F.lit(0), F.floor(F.length(body) / PIECE))
-    pieces = bodies.select(
-        "_row",
-        F.explode(F.transform(starts, lambda s: F.substring(body, s * PIECE + 1, F.lit(PIECE + gram - 1)))).alias("_piece"),
-    )
-    held = [
-        F.when(F.length(piece) >= s, grams(piece, F.lit(s))).otherwise(F.array().cast("array<bigint>"))
-        for s in sorted(sizes)
-    ]
-    probes = pieces.select("_row", F.explode(F.concat(*held)).alias("_gram"))
-    candidates = probes.join(anchors.select("_gram", "_key"), "_gram").select("_row", "_key").distinct()
-    hits = candidates.join(bodies, "_row").filter(F.contains(body, F.col("_key"))).select("_row")
-    return items.withColumn("_row", digest).join(hits, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in items.columns])
+    sizes = sorted(r[0] for r in anchors.select("_size").distinct().collect())
+    held, bits = _gram_filter(anchors)
+    sent = items.sparkSession.sparkContext.broadcast(held)
+
+    def hits(value: str | None) -> np.ndarray:
+        points, found = _code_points(value or ""), []
+        for begin in range(0, len(points), GRAM_BLOCK):
+            block = points[begin : begin + GRAM_BLOCK + gram - 1]
+            for n in sizes:
+                hashes = _gram_hashes(block, n)
+                slots = hashes >> np.uint64(64 - bits)
+                there = (sent.value[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
+                found.append(np.unique(hashes[there == 1]))
+        return np.unique(np.concatenate(found)).view(np.int64) if found else np.zeros(0, np.int64)
+
+    @F.pandas_udf("array<bigint>")
+    def text_grams(texts: pd.Series) -> pd.Series:
+        return texts.map(hits)
+
+    body = F.col(text)
+    rows = items.select(F.struct(*[F.col(f"`{c}`") for c in items.columns]).alias("_item"), F.sha2(body, 256).alias("_row"), body.alias("_body"))
+    rows = cut_lineage(rows.withColumn("_grams", text_grams("_body")).filter(F.size("_grams") > 0))
+    bodies = rows.groupBy("_row").agg(F.any_value("_body").alias("_body"), F.any_value("_grams").alias("_grams"))
+    probes = bodies.select("_row", F.explode("_grams").alias("_gram"))
+    counts = probes.groupBy("_gram").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in counts.filter(F.col("n") > max(total * HOT_SHARE, 1000)).select("_gram").collect()]
+    is_hot = F.col("_gram").isin(hot)
+    salted = probes.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("_row"), F.lit(SALTS))).otherwise(0).cast("int"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    met = anchors.select("_gram", "_key", F.explode(salts).alias("_salt"))
+    candidates = salted.join(met, ["_gram", "_salt"]).select("_row", "_key").distinct()
+    holding = candidates.join(bodies.select("_row", "_body"), "_row").filter(F.contains(F.col("_body"), F.col("_key"))).select("_row")
+    return rows.join(holding, "_row", "left_semi").select("_item.*")
 
 
 def job_snapshot(jobs: DataFrame, docs: DataFrame, collections: DataFrame, stage: str) -> DataFrame:
