@@ -21,9 +21,17 @@ CELLS = 64
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and number of words of every document; null and empty texts have none."""
+    """doc_id, source and number of words of every document; null and empty texts have none.
+
+    ``turn_key`` gives a document its place in the pseudo-random order: its id, or the digest of its text where it
+    has none, so that documents without id do not share one place.
+    """
+    text = F.coalesce("text", F.lit(""))
     return with_columns_renamed(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long").alias("size")
+        "doc_id",
+        "source",
+        F.regexp_count(text, F.lit(SPACE_WORD)).cast("long").alias("size"),
+        F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), F.md5(text))).alias("turn_key"),
     )
 
 
@@ -63,7 +71,7 @@ def tilts(sized: DataFrame, targets: DataFrame, rounds: int = 60, tolerance: flo
     and salt), so that a source with a third of all rows is no single group; each round sums the cells anew.
     Sources without words or with target 0 have no finite multiplier and get null (rate 0).
     """
-    cells = sized.groupBy("source", F.pmod(F.xxhash64("doc_id"), F.lit(CELLS)).alias("cell")).agg(
+    cells = sized.groupBy("source", F.pmod(F.xxhash64("turn_key"), F.lit(CELLS)).alias("cell")).agg(
         F.sum("size").alias("words")
     )
     cells = written(cells, "mix-cells")
@@ -139,5 +147,5 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP)
     # Rounding of the last Newton step must not turn a whole rate such as 2 into 1.9999999.
     rate = F.when(F.col("size") > 0, F.round(F.coalesce(F.exp("tilt"), F.lit(0.0)), 9)).otherwise(F.lit(0.0))
     rated = rated.withColumn("rate", F.least(rate, F.lit(float(cap)))).drop("tilt")
-    out = copies(rated, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    out = copies(rated, F.col("turn_key")).drop("turn_key")
     return out.withColumn("taken", F.col("copies") * F.col("size"))

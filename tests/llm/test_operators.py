@@ -261,6 +261,21 @@ def test_mixing(docs):
     assert None in by and len(rows) == docs.count()
 
 
+def test_mixing_without_ids(spark):
+    """Documents without id each have a place of their own in the order, and reruns agree."""
+    rows = [(None, "s" if i % 3 else None, f"{i} " + "w " * (i % 7)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    places = mixing.sizes(docs).groupBy("turn_key").count().agg(F.max("count")).first()[0]
+    assert places == 1
+    mixed = [mixing.mix(docs.repartition(n)) for n in (2, 5)]
+    assert mixed[0].columns == ["doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken"]
+    totals = [m.groupBy("source").agg(F.sum("taken").alias("taken"), F.min("target").alias("target")).collect() for m in mixed]
+    assert sorted(map(str, totals[0])) == sorted(map(str, totals[1]))
+    assert all(abs(r["taken"] - r["target"]) <= 8 for r in totals[0])
+    empty = docs.withColumn("text", F.lit(None).cast("string"))
+    assert mixing.mix(empty).agg(F.sum("taken"), F.count("*")).first() == (0, 3000)
+
+
 def test_url_filter(spark):
     rows = [(1, "https://A.Example.NET/en/x?q"), (2, "http://x.org/fr/"), (3, "http://b.c/z"), (4, None), (5, "nothing"), (6, "http://good.io")]
     pages = spark.createDataFrame(rows, "page_id long, url string")
