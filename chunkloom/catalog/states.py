@@ -186,20 +186,24 @@ def dedupe_wakeups_stream(spark, sf):
 
 
 def _arriving(rows, ts, slices=4):
-    """The rows as a stream of files in the order of ``ts``, one file a micro-batch, and a folder for its results."""
+    """The rows as a stream, the folder of its results and the slices that are to arrive, in the order of ``ts``."""
     spark = rows.sparkSession
     folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    rows.write.parquet(f"{folder}/rows")  # once, as each slice reads them
+    rows = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
     first, last = rows.agg(F.min(F.unix_seconds(ts)), F.max(F.unix_seconds(ts))).first()
     width = (last - first) // slices + 1
-    for i in range(slices):
-        mine = F.floor((F.unix_seconds(ts) - first) / width) == i
-        rows.where(mine).coalesce(1).write.parquet(f"{folder}/in/{i}")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-    return stream.parquet(f"{folder}/in"), folder
+    parts = [rows.where(F.floor((F.unix_seconds(ts) - first) / width) == i) for i in range(slices)]
+    rows.limit(0).write.parquet(f"{folder}/in/none")  # a stream needs its folder
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+    return stream, folder, parts
 
 
-def _last_changes(spark, changes, folder, key):
-    timers.publish_changes(changes, f"{folder}/out", f"{folder}/state").awaitTermination()
+def _last_changes(spark, changes, folder, parts, key):
+    """The stream taken up again for each slice, which is one micro-batch of as many files as were written."""
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{folder}/in/{i}")
+        timers.publish_changes(changes, f"{folder}/out", f"{folder}/state", i + 1 < len(parts)).awaitTermination()
     return timers.latest_changes(spark.read.schema(changes.schema).parquet(f"{folder}/out"), key)
 
 
@@ -210,9 +214,9 @@ SELECT job_id, status, attempts, status = 'running' AND date_trunc('millisecond'
 def job_leases_stream(spark, sf):
     """Leases that end by silence: timers of a stream, whose clock is the other jobs' events."""
     events = job_events(table(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
-    stream, folder = _arriving(events, "ts")
+    stream, folder, parts = _arriving(events, "ts")
     changes = timers.job_leases(stream, retention=400 * timers.DAY)
-    return _last_changes(spark, changes, folder, "job_id").drop("locked_until")
+    return _last_changes(spark, changes, folder, parts, "job_id").drop("locked_until")
 
 
 @query(
@@ -234,9 +238,9 @@ def task_limits_stream(spark, sf):
         .otherwise(F.lit("PENDING"))
     )
     events = table(spark, sf, "events").select(_run_id().alias("task_id"), F.col("ts").cast("timestamp").alias("ts"), state.alias("state"))
-    stream, folder = _arriving(events, "ts")
+    stream, folder, parts = _arriving(events, "ts")
     changes = timers.task_limits(stream, 80_000, 500_000, retention=400 * timers.DAY)
-    return _last_changes(spark, changes, folder, "task_id").where("problem is not null")
+    return _last_changes(spark, changes, folder, parts, "task_id").where("problem is not null")
 
 
 # Orders stand for documents, their lines for files; a file is seen on its shipping date, some in another size.
@@ -273,9 +277,9 @@ def ready_waiting_stream(spark, sf):
     )
     files = lines.withColumn("size", F.col("size") + F.col("more"))
     happened = timers.awaited(docs.join(entries, "document_id", "left"), remote, files, ["version"])
-    stream, folder = _arriving(happened, "ts")
+    stream, folder, parts = _arriving(happened, "ts")
     changes = timers.ready_when_complete(stream, 900 * timers.DAY, retention=4000 * timers.DAY)
-    return _last_changes(spark, changes, folder, "document_id").where("state <> 'waiting'")
+    return _last_changes(spark, changes, folder, parts, "document_id").where("state <> 'waiting'")
 
 
 @query("SELECT o_orderkey AS document_id, CASE WHEN o_orderstatus = 'P' THEN 'waiting' ELSE 'ready' END AS state FROM orders")

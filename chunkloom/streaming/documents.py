@@ -9,13 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def read_new_files(spark: SparkSession, folder: str, schema, name: str = "*.parquet", per_batch: int = 1000) -> DataFrame:
-    """Stream of the files a folder gains; the checkpoint remembers which were taken."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
-        .option("maxFilesPerTrigger", per_batch)
-        .parquet(folder)
-    )
+    """Stream of the files a folder gains; the checkpoint remembers which were taken.
+
+    ``name`` is a pattern of file names, or the name of one table, which is a file or a folder of files.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch)
+    if "*" in name:
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    # As a pattern, which may fit a file; a plain path has to be a folder.
+    return reader.parquet(f"{folder}/{name[:-1]}[{name[-1]}]")
 
 
 def publish_batches(

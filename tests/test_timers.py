@@ -155,3 +155,34 @@ def test_the_clock_can_be_the_wall(spark, tmp_path):
         assert [r["expired"] for r in sorted(rows, key=lambda r: r["change"])][-1] is True
     finally:
         query.stop()
+
+
+def test_the_state_has_a_value_and_a_timer_a_share(spark, tmp_path, monkeypatch):
+    """Reads and writes of the state do not grow with the keys, and a limit counts from its very moment."""
+    monkeypatch.setattr(timers, "SHARES", 3)
+    feed = Feed(spark, tmp_path, "task_id long, ts timestamp, state string")
+    start = F.lit(HOUR + "00:00").cast("timestamp").alias("ts")
+    feed.add(spark.range(500).select(F.col("id").alias("task_id"), start, F.lit("STARTED").alias("state")))
+    last = F.lit(HOUR + "01:40").cast("timestamp").alias("ts")
+    feed.add(spark.range(1).select(F.lit(999).cast("long").alias("task_id"), last, F.lit("STARTED").alias("state")))
+    rows, kept = feed.run(timers.task_limits(feed.stream(), run_seconds=100))
+    assert sorted(r[:2] for r in rows) == [(i, "timeout") for i in range(500)]
+    assert kept <= 3 * 3
+
+
+def test_slices_of_many_files_arrive_in_order(spark):
+    """Every slice is one micro-batch, whatever the number of its files, so that no row comes late."""
+    from chunkloom.catalog import states
+
+    rows = spark.range(0, 4000, 1, 5).select(
+        (F.col("id") % 1000).alias("task_id"),
+        (F.lit(1_700_000_000) + F.col("id")).cast("timestamp").alias("ts"),
+        F.when(F.col("id") < 1000, "STARTED").when(F.col("id") >= 3500, "SUCCESS").otherwise("PENDING").alias("state"),
+    )
+    stream, folder, parts = states._arriving(rows, "ts")
+    changes = timers.task_limits(stream, 2600, retention=400 * timers.DAY)
+    last = states._last_changes(spark, changes, folder, parts, "task_id")
+    files = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/in").select(F.input_file_name().alias("f"))
+    assert files.distinct().count() > 4
+    # Tasks 0 to 399 ran 2600 seconds by the last second, 3999; 500 to 999 have ended.
+    assert sorted(map(tuple, last.where("problem is not null").collect())) == [(i, "timeout") for i in range(500)]
