@@ -186,3 +186,30 @@ def test_slices_of_many_files_arrive_in_order(spark):
     assert files.distinct().count() > 4
     # Tasks 0 to 499 never end; 500 to 999 end late, which takes their problem back.
     assert sorted(map(tuple, last.where("problem is not null").collect())) == [(i, "timeout") for i in range(500)]
+
+
+def test_events_reach_python_as_one_column(spark, tmp_path):
+    """Whatever they consist of: share, time and the event, so that no value is taken apart by itself."""
+    (tmp_path / "in").mkdir()
+    changes = timers.ready_when_complete(Feed(spark, tmp_path, HAPPENED).stream())
+    plan = changes._jdf.queryExecution().analyzed().toString().split("\n")
+    below = next(line for line in plan[[i for i, line in enumerate(plan) if "_share" in line][-1] :])
+    assert "to_json" in below and below.count(" AS ") == 2
+
+
+def test_a_deadline_passes_when_the_clock_shows_it(spark, tmp_path):
+    """Also for keys that are no strings or whole numbers, and names with any character."""
+    feed = Feed(spark, tmp_path, HAPPENED.replace("document_id long", "document_id decimal(10,2)"))
+    kind = F.col("document_id").cast("decimal(10,2)")
+
+    def add(at, *rows, **more):
+        feed.add(happened(spark, at, *rows, **more).withColumn("document_id", kind))
+
+    odd = 'q"\\ \nä\U0001f600,'
+    add("00:00", [(1, 1, [("a", odd, 10, None)]), (2, 1, [("a", odd, 2**60 + 1, None)])], [(1, 1), (2, 1)])
+    add("04:59.999", files=[(2, odd, 2**60 + 1, None), (3, "x", 1, None)])
+    rows, _ = feed.run(timers.ready_when_complete(feed.stream(), 300))
+    assert not any(r[1] == "failed" for r in rows) and max((r[3], r[1]) for r in rows if r[0] == 2)[1] == "ready"
+    add("05:00", files=[(3, "x", 1, None)])
+    rows, _ = feed.run(timers.ready_when_complete(feed.stream(), 300))
+    assert [(str(r[0]), r[2]) for r in rows if r[1] == "failed"] == [("1.00", f"S3_NOT_READY_AFTER_TIMEOUT: LOCAL_ARTIFACT_MISSING: {odd}")]
