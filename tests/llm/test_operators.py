@@ -107,6 +107,53 @@ def test_automaton_and_radix_agree_with_counts():
                 assert {i for a, b in runs for i in range(a, b)} == want
 
 
+def large_shard():
+    rng = random.Random(8)
+    shared = [words(rng, 150) for _ in range(12)]
+    shard = {}
+    while sum(map(len, shard)) < suffix_dedup.SHARD_BYTES:
+        text = f"{words(rng, 30)} {rng.choice(shared)[: rng.randrange(300, 560)]} {words(rng, 20)} \xff".encode("latin-1")
+        shard[text] = rng.choice([1, 1, 1, 2])
+    return list(shard.items())
+
+
+def test_a_shard_is_sorted_without_indirect_sorts(monkeypatch):
+    """Key and index share a word in every pass over a shard of the usual size; larger ones are sorted all the same."""
+    shard = large_shard()
+    count = Counter()
+    for s, w in shard:
+        for i in range(len(s) - 399):
+            count[s[i : i + 400]] += w
+    want = [{i for i in range(len(s) - 399) if count[s[i : i + 400]] > 1} for s, _ in shard]
+
+    def found():
+        return [{i for a, b in runs for i in range(a, b)} for runs in suffix_dedup.match(shard)]
+
+    assert any(want) and not all(len(w) == max(0, len(s) - 399) for w, (s, _) in zip(want, shard))
+    with monkeypatch.context() as patched:
+        patched.setattr(suffix_dedup.np, "argsort", None)
+        assert found() == want
+    monkeypatch.setattr(suffix_dedup, "FIRST", (64,))
+    assert found() == want
+
+
+def test_planted_passages_go_from_400_bytes_on(spark):
+    """Passages of 51 to 70 words; whether one goes is a matter of its bytes, in rows that are short or long."""
+    rng = random.Random(21)
+    rows, planted = [], []
+    for i in range(40):
+        passage = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(3, 10))) for _ in range(rng.randrange(51, 71)))
+        for j in range(2):
+            before, after = (words(rng, rng.randrange(0, 60)) for _ in range(2))
+            rows.append((2 * i + j, f"<{i}.{j}> {before} {passage} {after}"))
+        planted.append(len(passage.encode()))
+    assert min(planted) < 390 and max(planted) > 410
+    got = {r["doc_id"]: (r["n"], r["n_removed"], r["kept_sha256"]) for r in suffix_dedup.remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(got.values()) == repeated_units([t for _, t in rows], lambda t: list(t.encode()), 400, bytes)
+    for i, size in enumerate(planted):
+        assert all(got[d][1] >= size for d in (2 * i, 2 * i + 1)) if size >= 400 else size > 390 or got[2 * i][1] == 0
+
+
 def test_near_duplicates(docs, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
     got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect()}
