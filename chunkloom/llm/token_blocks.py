@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import BYTE_VALUES, NOT_SPACE, scratch_root, span_hashes, text_bytes, with_columns_renamed, word_spans
+from .common import NOT_SPACE, mix, scratch_root, text_bytes, with_columns_renamed, word_spans
 
 MAGIC = b"PFORIDS1"
 BLOCK = 512
@@ -51,7 +51,7 @@ MANIFEST = "_files.json"
 END_ID = 0
 CHUNK_BYTES = 1 << 20  # text encoded at a time, if no text is longer
 MEMO = 1 << 18  # pieces after which those not met again are forgotten
-LINES = 64  # pieces encoded as one text
+LINES = 16  # pieces encoded as one text
 
 
 # ---------------------------------------------------------------- blocks
@@ -378,6 +378,24 @@ def pieces(buffer: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np
     return starts[inner], stops[inner]
 
 
+def _marks(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three numbers that tell pieces apart: first and last eight bytes, and length.
+
+    A piece of more than 16 bytes has its place among the different ones of these instead of its last bytes.
+    """
+    padded = np.frombuffer(joined + bytes(8), np.uint8)
+    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    width = ends - starts
+    keep = np.where(width >= 8, np.uint64(2**64 - 1), (np.uint64(1) << (8 * np.minimum(width, 7)).astype(np.uint64)) - np.uint64(1))
+    heads = eights[starts].view("<u8").ravel() & keep
+    tails = eights[np.maximum(ends - 8, starts)].view("<u8").ravel() & keep
+    long = np.flatnonzero(width > 16)
+    places: dict[bytes, int] = {}
+    for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
+        tails[i] = places.setdefault(joined[a:b], len(places))
+    return heads, tails, width
+
+
 class Encoder:
     """Ids of texts. A byte-level tokenizer encodes each distinct piece of the texts once, others whole texts."""
 
@@ -419,39 +437,39 @@ class Encoder:
         """Ids of each text. White space outside ASCII can join runs that are cut here; texts with it are encoded whole."""
         if not self.by_piece:
             return self._whole(texts)
-        odd = [len(wide_space(np.frombuffer(t, np.uint8))) > 0 for t in texts]
-        if any(odd):
-            rest = iter(self([t for t, o in zip(texts, odd) if not o]))
-            whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
-            return [next(whole if o else rest) for o in odd]
         joined = b"\n".join(texts) + b"\n"
         buffer = np.frombuffer(joined, np.uint8)
         sizes = np.array([len(t) for t in texts], np.int64)
         begins = np.cumsum(sizes + 1) - sizes - 1
+        odd = set((np.searchsorted(begins, wide_space(buffer), side="right") - 1).tolist())
+        if odd:
+            rest = iter(self([t for i, t in enumerate(texts) if i not in odd]))
+            whole = iter(self._whole([t for i, t in enumerate(texts) if i in odd]))
+            return [next(whole if i in odd else rest) for i in range(len(texts))]
         starts, ends = pieces(buffer, begins, begins + sizes)
         if not len(starts):
             return [np.zeros(0, "<u4")] * len(texts)
-        hashes = span_hashes(BYTE_VALUES[buffer], starts, ends)
+        heads, tails, width = _marks(joined, starts, ends)
+        with np.errstate(over="ignore"):
+            hashes = mix(heads ^ mix(tails + width.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         order = np.argsort(hashes)
         fresh = np.append(True, hashes[order][1:] != hashes[order][:-1])
         kind = np.empty(len(order), np.int64)
         kind[order] = np.cumsum(fresh) - 1
         one = order[fresh]
-        # Pieces of one hash must agree in length and in their first eight bytes too.
-        padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
-        heads = np.lib.stride_tricks.sliding_window_view(padded, 8)[starts].copy().view("<u8").ravel()
-        width = ends - starts
-        heads &= np.where(width >= 8, np.uint64(2**64 - 1), (np.uint64(1) << (8 * np.minimum(width, 7)).astype(np.uint64)) - np.uint64(1))
-        if (width != width[one][kind]).any() or (heads != heads[one][kind]).any():
+        # Different pieces that share a hash would be taken for one.
+        if any((x != x[one][kind]).any() for x in (heads, tails, width)):
             return self._whole(texts)
         keys = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        new = [k for k in keys if k not in memo]
-        memo.update((k, older[k]) for k in new if k in older)
-        self._learn([k for k in new if k not in memo])
-        known = [memo[k] for k in keys]
+        known = list(map(memo.get, keys))
+        new = [k for k, ids in zip(keys, known) if ids is None]
+        if new:
+            memo.update((k, older[k]) for k in new if k in older)
+            self._learn([k for k in new if k not in memo])
+            known = [memo[k] if ids is None else ids for k, ids in zip(keys, known)]
         every, count = np.frombuffer(b"".join(known), "<u4"), np.array(list(map(len, known))) // 4
         each = count[kind]
         after = np.cumsum(each)

@@ -56,6 +56,20 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert got == encoded(BYTE_BPE, texts)
 
 
+def test_pieces_of_one_polynomial_hash_keep_their_own_ids():
+    # A Thue-Morse word and its complement have the same polynomial hash modulo 2**64, whatever the odd base.
+    word = "a"
+    for _ in range(12):
+        word += word.translate({97: "b", 98: "a"})
+    texts = [f"same head {'x' * 8}{w}" for w in (word, word.translate({97: "b", 98: "a"}))]
+    texts += ["short", "shorter", "shorter than sixteen", "exactly16bytes!!", "exactly16bytes!?", "caf\u00e9 \u3000 wide", ""]
+    with open(BYTE_BPE, encoding="utf-8") as source:
+        encode = token_blocks.Encoder(source.read())
+    want = [e.ids for e in encode.model.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [x.tolist() for x in encode([t.encode() for t in texts])] == want
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_token_files(spark, tmp_path, monkeypatch, path):
     monkeypatch.setattr(token_blocks, "FILE_IDS", 600)  # several files a task
