@@ -21,6 +21,7 @@ which holds a name and two numbers a file, so lost or repeated tasks leave nothi
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -50,8 +51,9 @@ FOOTER = "<QQQQI8s"
 MANIFEST = "_files.json"
 END_ID = 0
 CHUNK_BYTES = 1 << 20  # text encoded at a time, if no text is longer
-MEMO = 1 << 18  # pieces after which those not met again are forgotten
-LINES = 16  # pieces encoded as one text
+MEMO = 1 << 19  # pieces after which those not met again are forgotten
+LONG_BYTES = 1 << 24  # bytes in pieces of more than 16 bytes after which these are forgotten
+LINES = 64  # pieces encoded as one text
 
 
 # ---------------------------------------------------------------- blocks
@@ -338,6 +340,10 @@ LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123)]] = True
 MARKS = np.zeros(256, bool)
 MARKS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+WORDLIKE = LETTERS | (np.arange(256) >= 0x80)
+# The signs of a byte-level tokenizer for bytes: printable characters stand for themselves, others from 256 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+ALPHABET = "".join(chr(b if b in PRINTABLE else 256 + b - sum(p < b for p in PRINTABLE)) for b in range(256))
 
 
 def wide_space(buffer: np.ndarray) -> np.ndarray:
@@ -378,10 +384,12 @@ def pieces(buffer: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np
     return starts[inner], stops[inner]
 
 
-def _marks(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _marks(
+    joined: bytes, starts: np.ndarray, ends: np.ndarray, places: dict[bytes, int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Three numbers that tell pieces apart: first and last eight bytes, and length.
 
-    A piece of more than 16 bytes has its place among the different ones of these instead of its last bytes.
+    A piece of more than 16 bytes has its place in ``places`` instead of its last bytes.
     """
     padded = np.frombuffer(joined + bytes(8), np.uint8)
     eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
@@ -390,18 +398,103 @@ def _marks(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndar
     heads = eights[starts].view("<u8").ravel() & keep
     tails = eights[np.maximum(ends - 8, starts)].view("<u8").ravel() & keep
     long = np.flatnonzero(width > 16)
-    places: dict[bytes, int] = {}
     for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
         tails[i] = places.setdefault(joined[a:b], len(places))
     return heads, tails, width
 
 
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each ``begin`` on, as many as ``count`` says, one after the other."""
+    after = np.cumsum(count)
+    return np.repeat(begin - (after - count), count) + np.arange(after[-1] if len(after) else 0)
+
+
+class Memo:
+    """Ids of the pieces met so far, in arrays; ``slots`` is an open hash table of places in them.
+
+    A piece is known by its code, first bytes and length. The code mixes these and the last bytes one to one, so that
+    pieces alike in all three are equal.
+    """
+
+    def __init__(self):
+        self.long: dict[bytes, int] = {}  # places of pieces of more than 16 bytes among these
+        self.long_bytes = 0
+        self.codes, self.heads = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.width, self.begin, self.count = (np.zeros(0, kind) for kind in (np.int32, np.int64, np.int32))
+        self.met, self.ids = np.zeros(0, bool), np.zeros(0, "<u4")
+        self._hold(np.zeros(0, np.int64), 1 << 14)
+
+    def _hold(self, keep: np.ndarray, room: int) -> None:
+        """Keep the pieces at some places, in that order, in arrays with room for more."""
+        count = self.count[keep]
+        self.ids = self.ids[_spread(self.begin[keep], count)]
+        self.begin[keep] = np.cumsum(count) - count
+        self.n, self.n_ids = len(keep), len(self.ids)
+        for name in ("codes", "heads", "width", "begin", "count", "met"):
+            old = getattr(self, name)
+            new = np.empty(room, old.dtype)
+            new[: self.n] = old[keep]
+            setattr(self, name, new)
+        self.slots = np.full(1 << (2 * room - 1).bit_length(), -1, np.int32)
+        self._enter(np.arange(self.n))
+
+    def _enter(self, places: np.ndarray) -> None:
+        last = len(self.slots) - 1
+        at = (self.codes[places] & np.uint64(last)).astype(np.int64)
+        while len(places):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = places[free]  # one of several stays
+            lost = np.flatnonzero(self.slots[at] != places)
+            places, at = places[lost], (at[lost] + 1) & last
+
+    def find(self, codes: np.ndarray, heads: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """The place of each piece, -1 for those not held."""
+        last = len(self.slots) - 1
+        at = (codes & np.uint64(last)).astype(np.int64)
+        out = np.full(len(codes), -1, np.int64)
+        left = np.arange(len(codes))
+        while len(left):
+            place = self.slots[at]
+            same = (place >= 0) & (self.codes[place] == codes) & (self.heads[place] == heads) & (self.width[place] == width)
+            out[left[same]] = place[same]
+            on = np.flatnonzero((place >= 0) & ~same)
+            left, codes, heads, width, at = left[on], codes[on], heads[on], width[on], (at[on] + 1) & last
+        self.met[out[out >= 0]] = True
+        return out
+
+    def add(self, codes: np.ndarray, heads: np.ndarray, width: np.ndarray, learnt: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Places of different pieces not held yet, given their ids and which are whose."""
+        ids, begin, count = learnt
+        stop = self.n + len(codes)
+        if stop > len(self.codes):
+            self._hold(np.arange(self.n), stop * 3 // 2)
+        self.long_bytes += int(width[width > 16].sum())
+        new = slice(self.n, stop)
+        self.codes[new], self.heads[new], self.width[new] = codes, heads, width
+        self.begin[new], self.count[new], self.met[new] = begin + self.n_ids, count, False
+        if self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids[: self.n_ids], np.empty(self.n_ids // 2 + len(ids), "<u4"))
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        places = np.arange(self.n, stop)
+        self.n, self.n_ids = stop, self.n_ids + len(ids)
+        self._enter(places)
+        return places
+
+    def forget(self) -> None:
+        """Of very many pieces keep those met again, the latest half at most; of very many bytes in long ones no long one."""
+        if self.n > MEMO or self.long_bytes > LONG_BYTES:
+            keep = np.flatnonzero(self.met[: self.n] & (self.width[: self.n] <= 16))[-MEMO // 2 :]
+            self.long, self.long_bytes = {}, 0
+            self._hold(keep, max(2 * len(keep), 1 << 14))
+            self.met[: self.n] = False
+
+
 class Encoder:
     """Ids of texts. A byte-level tokenizer encodes each distinct piece of the texts once, others whole texts."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_str(tokenizer)
         self.model.encode_special_tokens = True  # the strings of special tokens are ordinary text
@@ -413,8 +506,12 @@ class Encoder:
             spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
             and not cut.get("add_prefix_space") and len(self.line) == 1
         )
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        # A piece of letters is one word to the pre-tokenizer as well; the same model gets it in the alphabet of bytes.
+        self.words = Tokenizer(self.model.model)
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.cuts = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        self.letters: dict[str, bool] = {}
+        self.memo = Memo()
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -422,16 +519,38 @@ class Encoder:
     def _whole(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.array(ids, "<u4") for ids in self._plain([t.decode() for t in texts])]
 
-    def _learn(self, found: list[bytes]) -> None:
-        lines = [p for p in found if not p.isspace()]
-        blank = [p for p in found if p.isspace()]
-        self.memo.update((p, ids.tobytes()) for p, ids in zip(blank, self._whole(blank)))
-        groups = [lines[a : a + LINES] for a in range(0, len(lines), LINES)]
-        for group, ids in zip(groups, self._whole([b"\n".join(g) for g in groups])):
-            breaks = np.flatnonzero(ids == self.line[0])
-            data, places = ids.tobytes(), (4 * breaks).tolist()
-            for p, x, y in zip(group, [-4, *places], [*places, len(data)], strict=True):
-                self.memo[p] = data[x + 4 : y]
+    def _others(self, text: str) -> set[str]:
+        """Characters that are no letters to the pre-tokenizer."""
+        found = set(text)
+        for c in found.difference(self.letters):
+            self.letters[c] = len(self.cuts.pre_tokenize_str(f"a{c}a")) == 1
+        return {c for c in found if not self.letters[c]}
+
+    def _learn(self, joined: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and for each piece its first and its number of ids."""
+        buffer = np.frombuffer(joined, np.uint8)
+        found = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        blank = ~NOT_SPACE[buffer[ends - 1]]
+        before = np.cumsum(np.append(False, ~WORDLIKE[buffer]))
+        word = ~blank & (before[ends] == before[starts + (buffer[starts] == 0x20)])
+        others = self._others(b"".join([found[i] for i in np.flatnonzero(word).tolist()]).decode()) - {" "}
+        if others:
+            word[word] = [others.isdisjoint(found[i].decode()) for i in np.flatnonzero(word).tolist()]
+        words, lines, blank = (np.flatnonzero(x).tolist() for x in (word, ~word & ~blank, blank))
+        texts = [[b"\n".join([found[i] for i in mine[a : a + LINES]]) for a in range(0, len(mine), LINES)] for mine in (words, lines)]
+        signs = [codecs.charmap_decode(t, "strict", ALPHABET)[0].replace(ALPHABET[10], f" {ALPHABET[10]} ") for t in texts[0]]
+        ids = [e.ids for e in self.words.encode_batch_fast(signs, add_special_tokens=False)]
+        ids += self._plain([t.decode() for t in texts[1]])
+        every = np.array([i for group in ids for i in (*group, *self.line)], "<u4")
+        stops = np.flatnonzero(every == self.line[0])
+        rest = self._whole([found[i] for i in blank])
+        if len(stops) != len(words) + len(lines):
+            raise ValueError("a line break inside a piece")
+        order = np.array([*words, *lines, *blank], np.int64)
+        begin, count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        count[order] = np.concatenate([np.diff(stops, prepend=-1) - 1, np.array([len(x) for x in rest], np.int64)])
+        begin[order] = np.cumsum(count[order]) - count[order]
+        return np.concatenate([every[every != self.line[0]], *rest]), begin, count
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text. White space outside ASCII can join runs that are cut here; texts with it are encoded whole."""
@@ -449,31 +568,25 @@ class Encoder:
         starts, ends = pieces(buffer, begins, begins + sizes)
         if not len(starts):
             return [np.zeros(0, "<u4")] * len(texts)
-        heads, tails, width = _marks(joined, starts, ends)
+        memo = self.memo
+        memo.forget()
+        heads, tails, width = _marks(joined, starts, ends, memo.long)
         with np.errstate(over="ignore"):
-            hashes = mix(heads ^ mix(tails + width.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-        order = np.argsort(hashes)
-        fresh = np.append(True, hashes[order][1:] != hashes[order][:-1])
-        kind = np.empty(len(order), np.int64)
-        kind[order] = np.cumsum(fresh) - 1
-        one = order[fresh]
-        # Different pieces that share a hash would be taken for one.
-        if any((x != x[one][kind]).any() for x in (heads, tails, width)):
-            return self._whole(texts)
-        keys = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
-        if len(self.memo) > MEMO:
-            self.memo, self.older = {}, self.memo
-        memo, older = self.memo, self.older
-        known = list(map(memo.get, keys))
-        new = [k for k, ids in zip(keys, known) if ids is None]
-        if new:
-            memo.update((k, older[k]) for k in new if k in older)
-            self._learn([k for k in new if k not in memo])
-            known = [memo[k] if ids is None else ids for k, ids in zip(keys, known)]
-        every, count = np.frombuffer(b"".join(known), "<u4"), np.array(list(map(len, known))) // 4
-        each = count[kind]
-        after = np.cumsum(each)
-        ids = every[np.repeat((np.cumsum(count) - count)[kind] - (after - each), each) + np.arange(after[-1])]
+            codes = mix(heads ^ mix(tails + width.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        place = memo.find(codes, heads, width)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            order = new[np.argsort(codes[new])]
+            fresh = np.append(True, codes[order][1:] != codes[order][:-1])
+            one, kind = order[fresh], np.cumsum(fresh) - 1
+            # Different pieces that share a code would be taken for one.
+            if any((x[order] != x[one][kind]).any() for x in (heads, width)):
+                return self._whole(texts)
+            learnt = self._learn(joined, starts[one], ends[one])
+            place[order] = memo.add(codes[one], heads[one], width[one], learnt)[kind]
+        count = memo.count[place]
+        ids = memo.ids[_spread(memo.begin[place], count)]
+        after = np.cumsum(count)
         cuts = np.append(0, after)[np.searchsorted(starts, np.append(begins, len(buffer)))]
         return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 

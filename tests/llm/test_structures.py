@@ -70,6 +70,36 @@ def test_pieces_of_one_polynomial_hash_keep_their_own_ids():
         assert [x.tolist() for x in encode([t.encode() for t in texts])] == want
 
 
+def test_letters_of_all_scripts_keep_the_ids_of_whole_texts():
+    from tokenizers import pre_tokenizers
+
+    assert set(token_blocks.ALPHABET) == set(pre_tokenizers.ByteLevel.alphabet())
+    rng = random.Random(3)
+    signs = [chr(i) for i in [*range(0x3000), *rng.sample(range(0x3000, 0xD800), 1500), *rng.sample(range(0xE000, 0x110000), 3000)]]
+    texts = [f"a{c}b {c}{c} {c}a'{c}" for c in signs] + ["".join(rng.sample(signs, 9)) for _ in range(1000)]
+    with open(BYTE_BPE, encoding="utf-8") as source:
+        encode = token_blocks.Encoder(source.read())
+    got = [ids.tolist() for a in range(0, len(texts), 50) for ids in encode([t.encode() for t in texts[a : a + 50]])]
+    assert got == encoded(BYTE_BPE, texts)
+
+
+def test_memory_of_pieces_is_bounded_and_those_met_are_learnt_once(monkeypatch):
+    monkeypatch.setattr(token_blocks, "MEMO", 400)
+    monkeypatch.setattr(token_blocks, "LONG_BYTES", 20_000)
+    rng = random.Random(4)
+    with open(BYTE_BPE, encoding="utf-8") as source:
+        encode = token_blocks.Encoder(source.read())
+    learnt = []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda joined, a, b: learnt.extend(joined[x:y] for x, y in zip(a, b)) or learn(joined, a, b))
+    often = [f" often{i}" for i in "abcdefgh"]
+    for turn in range(60):
+        texts = ["".join(often)] + ["".join(rng.choices("abcdef é1-", k=rng.choice([9, 99]))) for _ in range(8)] + ["x" * 3000 + "yz"[turn % 2] * turn]
+        assert [x.tolist() for x in encode([t.encode() for t in texts])] == encoded(BYTE_BPE, texts)
+        assert len(encode.memo.codes) < 4 * 400 + (1 << 14) and encode.memo.long_bytes == sum(map(len, encode.memo.long)) < 30_000
+    assert encode.memo.n < len(learnt) and all(learnt.count(w.encode()) == 1 for w in often)
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_token_files(spark, tmp_path, monkeypatch, path):
     monkeypatch.setattr(token_blocks, "FILE_IDS", 600)  # several files a task
